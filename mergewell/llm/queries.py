@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mergewell.llm import bpe, chat, mixing, sharding
+from mergewell.llm import bpe, chat, html, knn, mixing, quality, sharding
 from mergewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,33 @@ FROM placed
 """
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    done = quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return done.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op9_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return knn.search(rows, rows.where("vec_id % 20 = 0"), k=10)
+
+
+OP9_SQL = """
+WITH codes AS (
+  SELECT vec_id, list_sum(list_transform(embedding, lambda x, i: CASE WHEN x > 0 THEN 1::HUGEINT << (i - 1)::INT ELSE 0 END))::UBIGINT AS code
+  FROM embeddings WHERE embedding IS NOT NULL),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, bit_count(xor(q.code, c.code))::INT AS distance
+  FROM codes q, codes c WHERE q.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id)::INT AS rank, vec_id, distance
+FROM pairs QUALIFY rank <= 10
+"""
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("repeats")
 
@@ -117,8 +144,16 @@ FROM running
 
 
 def queries() -> dict[str, Query]:
-    return {"op4_chat": op4_chat, "op5_bpe": op5_bpe, "op6_sharding": op6_sharding, "op10_mixing": op10_mixing}
+    return {
+        "op4_chat": op4_chat,
+        "op5_bpe": op5_bpe,
+        "op6_sharding": op6_sharding,
+        "op7_html": op7_html,
+        "op8_quality": op8_quality,
+        "op9_knn": op9_knn,
+        "op10_mixing": op10_mixing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat": OP4_SQL, "op6_sharding": OP6_SQL, "op10_mixing": OP10_SQL}
+    return {"op4_chat": OP4_SQL, "op6_sharding": OP6_SQL, "op9_knn": OP9_SQL, "op10_mixing": OP10_SQL}
