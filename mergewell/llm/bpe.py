@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +61,7 @@ class Bpe:
         own = [f"[\\p{{{c}}}--[{young}]]" for c in "LN"]
         self.words_with_odd = regex.compile("(?V1)" + pattern.split("|[")[0] + f"|{own[0]}+|{own[1]}|[^{SPACE}{own[0]}{own[1]}]+")
         self.spaces = regex.compile(f"[{SPACE}]+")
+        self.separators = regex.compile("[\\x1c-\\x1f]")
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.letters = dict(enumerate(byte_letters()))
         #: A token's symbols: its letters, the last one with the word end if the token has it.
@@ -83,10 +85,15 @@ class Bpe:
         self.left, self.right = np.arange(n), np.arange(n)
         self.left[made[::-1]], self.right[made[::-1]] = left[::-1], right[::-1]
         self.cache: dict[str, list[int]] = {}
+        self.chunks: dict[str, list[int]] = {}
         #: Only tokens that merging gives back are proposed.
         usable = {i for i in range(n) if self._rebuilt(i)}
         self.inner = {t: i for t, i in self.inner.items() if i in usable}
         self.final = {t: i for t, i in self.final.items() if i in usable}
+        #: The longest token that begins with two given letters.
+        self.reach: dict[str, int] = {}
+        for t in self.inner:
+            self.reach[t[:2]] = max(len(t), self.reach.get(t[:2], 0))
 
     def _rebuilt(self, i: int) -> bool:
         """Whether the merges that made token ``i`` came in the order of their ranks."""
@@ -96,12 +103,12 @@ class Bpe:
     def greedy(self, word: str) -> list[int]:
         """Longest match from the left."""
         out, at, n = [], 0, len(word)
-        inner, final, longest = self.inner, self.final, self.longest
+        inner, final, longest, reach = self.inner, self.final, self.longest, self.reach
         while at < n:
             if n - at <= longest and (i := final.get(word[at:])) is not None:
                 out.append(i)
                 break
-            for k in range(min(longest, n - at - 1), 0, -1):
+            for k in range(min(reach.get(word[at : at + 2], 1), n - at - 1), 0, -1):
                 if (i := inner.get(word[at : at + k])) is not None:
                     out.append(i)
                     at += k
@@ -144,11 +151,16 @@ class Bpe:
         rank, made = self.rank, self.made
         if len(ids) > 200:
             return self._merged_long(ids)
-        while len(ids) > 1:
-            best = min((rank.get(p, self.never), k) for k, p in enumerate(zip(ids, ids[1:], strict=False)))
-            if best[0] == self.never:
-                break
-            ids[best[1] : best[1] + 2] = [made[best[0]]]
+        never = self.never
+        ranks = [rank.get(p, never) for p in zip(ids, ids[1:], strict=False)]
+        while ranks and (best := min(ranks)) < never:
+            k = ranks.index(best)
+            ids[k : k + 2] = [made[best]]
+            del ranks[k]
+            if k:
+                ranks[k - 1] = rank.get((ids[k - 1], ids[k]), never)
+            if k < len(ranks):
+                ranks[k] = rank.get((ids[k], ids[k + 1]), never)
         return ids
 
     def _merged_long(self, ids: list[int]) -> list[int]:
@@ -190,32 +202,46 @@ class Bpe:
         out.update(zip(words, tokens, strict=True))
         return len(failed)
 
-    def split(self, text: str) -> list[str | int]:
-        """The words of a text, and the ids of special tokens in it."""
+    def split(self, text: str) -> list[str]:
+        """The normalized text between white space; special tokens as their strings after a space."""
         parts = self.specials.split(text) if "<|" in text else [text]
-        out: list[str | int] = []
+        out: list[str] = []
         for part in parts:
             if part in self.special:
-                out.append(self.special[part])
+                out.append(" " + part)
             elif part:
-                part = part if part.isascii() else unicodedata.normalize("NFC", part)
-                part = self.spaces.sub(" ", part).replace("Σ", "σ").lower()
-                if part.isascii() or not self.odd.search(part):
-                    out += self.words.findall(part)
-                else:
-                    out += self.words_with_odd.findall(part.translate(LOWER))
+                part = part if part.isascii() else unicodedata.normalize("NFC", part).replace("Σ", "σ")
+                part = part.lower()
+                # four control characters are white space to Python alone
+                out += part.split() if not self.separators.search(part) else [x for x in self.spaces.split(part) if x]
         return out
 
+    def pieces(self, chunk: str) -> list[str]:
+        """The words of a chunk without white space."""
+        if chunk.isascii() or not self.odd.search(chunk):
+            return self.words.findall(chunk)
+        return self.words_with_odd.findall(chunk.translate(LOWER))
+
     def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text. Words and chunks that are new are encoded once."""
         split = [self.split(t) for t in texts]
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
-        known = self.cache
-        new = {w for ws in split for w in ws if w.__class__ is str and w not in known}
-        rare: dict[str, list[int]] = {}
-        self.learn([w for w in new if len(w) <= CACHE_CHARS], known)
-        self.learn([w for w in new if len(w) > CACHE_CHARS], rare)
-        return [[i for w in ws for i in ((w,) if w.__class__ is int else known[w] if w in known else rare[w])] for ws in split]
+            self.chunks.clear()
+        known = self.chunks
+        new = set().union(*split).difference(known)
+        parts = {c: [c] if c[0] == " " else self.pieces(c) for c in new}
+        words = {w for c, ws in parts.items() if c[0] != " " for w in ws}.difference(self.cache)
+        short, rare = [w for w in words if len(w) <= CACHE_CHARS], dict[str, list[int]]()
+        self.learn(short, self.cache)
+        self.learn([w for w in words if len(w) > CACHE_CHARS], rare)
+        long: dict[str, list[int]] = {}
+        for c, ws in parts.items():
+            ids = [self.special[c[1:]]] if c[0] == " " else [i for w in ws for i in (self.cache[w] if w in self.cache else rare[w])]
+            (known if len(c) <= CACHE_CHARS else long)[c] = ids
+        if long:
+            return [[i for c in cs for i in (known[c] if c in known else long[c])] for cs in split]
+        return [list(chain.from_iterable(map(known.__getitem__, cs))) for cs in split]
 
     def decode(self, ids: list[int]) -> str:
         """The file names no decoder: tokens are joined by one space."""
