@@ -13,7 +13,7 @@ from mergewell.llm.common import checkpointed
 
 BITS = 64
 #: A radius whose probes of one segment number fewer than this is searched in all segments at once.
-FEW_PROBES = 400
+FEW_PROBES = 100
 
 
 def sign_code(embedding: Column) -> Column:
@@ -56,7 +56,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     smaller vec_id (null first), and a query that is also a row finds itself.
 
     Equal codes are collapsed into one, so a group of copies is one entry. The
-    code is cut into segments of about log2(n) bits. Step (s, a) looks up, for
+    code is cut into segments of about log2(n) - 2.5 bits, so that a lookup
+    meets about six codes. Step (s, a) looks up, for
     every query still open, the segment values at distance s from its own in
     segment a; after it all codes within distance m s + a are found, and a
     query whose kth distance is no greater is closed. A code met in more than one
@@ -75,7 +76,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     index = checkpointed(coded.groupBy("_code").agg(F.min(F.struct(F.isnotnull("_id").alias("known"), "_id")).alias("_first")))
     n = index.count()
     wanted = min(k, n)
-    m = ceil(BITS / max(4, min(16, round(log2(n + 1)))))
+    m = ceil(BITS / max(4, min(16, round(log2(n + 1) - 2.5))))
     bits = [BITS // m + (i < BITS % m) for i in range(m)]
     entries = checkpointed(index.select("_code", "_first", F.posexplode(F.array(*_segments("_code", bits)))).toDF("_code", "_first", "_seg", "_value"))
     best: DataFrame | None = None
