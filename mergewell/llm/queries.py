@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mergewell.llm import bpe, chat, dedup, html, jaccard, knn, mixing, quality, sharding
+from mergewell.llm import bpe, chat, dedup, hmm, html, jaccard, knn, mixing, quality, sharding
 from mergewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op2_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(table(spark, sf_dir, "documents"))
 
@@ -154,6 +158,7 @@ FROM running
 def queries() -> dict[str, Query]:
     return {
         "op1_suffixes": op1_suffixes,
+        "op2_hmm": op2_hmm,
         "op3_jaccard": op3_jaccard,
         "op4_chat": op4_chat,
         "op5_bpe": op5_bpe,
