@@ -16,7 +16,9 @@ from mergewell.llm.suffixes import ragged, sorted_suffixes
 #: Bytes of a string that counts as repeated, and of the grams among which its key is chosen.
 LENGTH, GRAM = 50, 16
 #: Plan bytes for one block of texts and for one bucket of keys.
-BLOCK_BYTES, BUCKET_BYTES = 2_500_000, 6_000_000
+BLOCK_BYTES, BUCKET_BYTES = 2_000_000, 1_500_000
+#: Bytes of text whose grams are hashed together.
+PART = 500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _NEVER = np.iinfo(np.int64).max
 
@@ -30,23 +32,36 @@ class Runs:
     """
 
     def __init__(self, texts: list[bytes]) -> None:
-        self.data = np.frombuffer(b"".join(texts) + bytes(LENGTH + 14), np.uint8)
         size = np.array([len(t) for t in texts], np.int64)
+        self.data = b"".join(texts)
         self.text_at = np.concatenate([[0], np.cumsum(size)])
-        words = np.ndarray((len(self.data) - 7,), "<u8", self.data, strides=(1,)).copy()
+        parts = [self._part(texts, size, a, b) for a, b in self._slices(size)]
+        #: Of each run: its key, its text, its first window and how many windows it has.
+        self.key, self.text, self.start, self.windows = (np.concatenate(x) if parts else np.zeros(0, np.int64) for x in (zip(*parts, strict=True) if parts else [()] * 4))
+
+    @staticmethod
+    def _slices(size: np.ndarray) -> list[tuple[int, int]]:
+        """Neighbouring texts of about ``PART`` bytes together."""
+        cuts = np.flatnonzero(np.diff(np.cumsum(size) // PART)) + 1
+        ends = [0, *cuts.tolist(), len(size)]
+        return [(a, b) for a, b in zip(ends[:-1], ends[1:], strict=True) if a < b]
+
+    def _part(self, texts: list[bytes], size: np.ndarray, a: int, b: int) -> tuple[np.ndarray, ...]:
+        data = b"".join(texts[a:b]) + bytes(LENGTH + 14)
+        words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,)).copy()
         low = mixed(words[:-8] * _ODD + mixed(words[8:] + _ODD))
         for step in (1, 2, 4, 8, 16, 3):
             low = np.minimum(low[:-step], low[step:])
-        windows = np.maximum(size - LENGTH + 1, 0)
-        where = ragged(self.text_at[:-1], windows)
-        owner = np.repeat(np.arange(len(texts)), windows)
+        windows = np.maximum(size[a:b] - LENGTH + 1, 0)
+        begin = self.text_at[a]
+        where = ragged(self.text_at[a:b] - begin, windows)
+        owner = np.repeat(np.arange(a, b), windows)
         key = low[where]
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
         at = np.flatnonzero(new)
-        #: Of each run: its key, its text, its first window and how many windows it has.
-        self.key, self.text, self.start = key[at], owner[at], where[at]
-        self.windows = np.diff(np.append(at, len(key)))
+        # least hashes crowd at the low end; mixed once more they fill the range of keys evenly
+        return mixed(key[at] + _ODD), owner[at], where[at] + begin, np.diff(np.append(at, len(key)))
 
 
 def _texts(table: pa.Table) -> tuple[list[str], list[bytes]]:
@@ -115,7 +130,7 @@ def _send(buckets: int):
         shared = np.unique(np.concatenate([np.zeros(0, np.uint64), *(unpack(k.as_py()) for k in known.column("keys") if k.as_py() is not None)]))
         mine = np.flatnonzero(np.isin(runs.key, shared))
         mine = mine[np.argsort(runs.key[mine], kind="stable")]
-        data, start, windows = runs.data.tobytes(), runs.start[mine], runs.windows[mine]
+        data, start, windows = runs.data, runs.start[mine], runs.windows[mine]
         piece: dict[bytes, int] = {}
         which = np.fromiter((piece.setdefault(data[a:b], len(piece)) for a, b in zip(start.tolist(), (start + windows + LENGTH - 1).tolist(), strict=True)), np.int64, len(mine))
         least = np.full(len(piece), _NEVER)
@@ -235,10 +250,16 @@ def _apply(table: pa.Table, answers: pa.Table) -> pa.Table:
     data = np.frombuffer(b"".join(texts), np.uint8)
     left = data[~gone].tobytes()
     cut = np.concatenate([[0], np.cumsum(~gone)])[at]
+    # what is left as text: a character that lost a byte goes whole
+    letter = np.cumsum((data & 0xC0) != 0x80)
+    whole = ~(np.bincount(letter, weights=gone, minlength=1) > 0)[letter] if len(data) else ~gone
+    clean = data[whole].tobytes()
+    clear = np.concatenate([[0], np.cumsum(whole)])[at]
     spans = pa.StructArray.from_arrays([pa.array(begin - at[owner]), pa.array(end - at[owner])], ["start", "end"])
     return pa.table({
         "h": pa.array(names, pa.string()), "first_id": pa.array(ids, mask=ids == _NEVER), "spans": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans),
         "kept": pa.array([left[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
+        "kept_text": pa.array([clean[a:b].decode() for a, b in zip(clear[:-1], clear[1:], strict=True)], pa.string()),
     })
 
 
@@ -266,7 +287,8 @@ def repeated_strings(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     The first table has ``doc_id, h, n_bytes`` for each row, the second for
     each distinct text ``h`` the smallest id that holds it, ``spans`` (start
-    and end in bytes) to remove there, and the ``kept`` bytes.
+    and end in bytes) to remove there, the ``kept`` bytes, and ``kept_text``,
+    which leaves out characters that lost a byte.
 
     1. Equal texts are one text from the start.
     2. Every 50-byte window has a key, the least hash of its 16-byte grams. Keys
@@ -287,8 +309,9 @@ def repeated_strings(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = first.select((F.conv(F.substring("h", 1, 8), 16, 10).cast("long") % blocks).cast("int").alias("block"), F.lit(None).cast("binary").alias("keys"), "h", "first_id")
     known = shared.select("block", "keys", F.lit(None).cast("string").alias("h"), F.lit(None).cast("long").alias("first_id")).unionByName(first)
     pieces = texts.cogroup(known.groupBy("block")).applyInArrow(_send(buckets), _PIECES)
-    answers = pieces.groupBy("bucket").applyInArrow(_resolve, "bucket int, block int, ids binary, about binary")
-    done = texts.cogroup(answers.groupBy("block")).applyInArrow(_apply, "h string, first_id long, spans array<struct<start:bigint,end:bigint>>, kept binary")
+    # sorting takes long for its bytes: as many tasks as buckets, whatever their size
+    answers = pieces.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_resolve, "bucket int, block int, ids binary, about binary")
+    done = texts.cogroup(answers.groupBy("block")).applyInArrow(_apply, "h string, first_id long, spans array<struct<start:bigint,end:bigint>>, kept binary, kept_text string")
     return rows, done
 
 
@@ -325,3 +348,17 @@ def digests(docs: DataFrame) -> DataFrame:
     done = done.select("h", "first_id", F.sha2("kept", 256).alias("kept_sha256"), removed.alias("_removed"), F.size("spans").cast("long").alias("_spans"))
     out = _by_row(rows, done, "kept_sha256")
     return out.withColumn("kept_sha256", F.when(F.col("kept_sha256") == "", F.sha2(F.lit(b""), 256)).otherwise(F.col("kept_sha256"))).drop("h")
+
+
+def cleaned(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with what ``dedup`` keeps of their texts; rows that lose all of it go.
+
+    Rows with empty or null text stay as they are.
+    """
+    _, done = repeated_strings(docs)
+    done = done.select(F.col("h").alias("_h"), F.col("first_id").alias("_first"), F.col("kept_text").alias("_text"))
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text", F.md5(F.encode(text, "UTF-8")).alias("_h"), (F.octet_length(text) >= LENGTH).alias("_long")).join(done, "_h")
+    left = F.when(F.col("_long") & ~F.col("doc_id").cast("long").eqNullSafe(F.col("_first")), F.lit("")).otherwise(F.col("_text"))
+    rows = rows.withColumn("_left", left).where((F.col("_left") != "") | F.isnull("text") | (F.col("text") == ""))
+    return rows.select(*(F.when(F.isnotnull("text"), F.col("_left")).alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mergewell.llm.common import checkpointed
-from mergewell.llm.packing import bounds, bucket_count, pack, unpack
+from mergewell.llm.packing import bounds, bucket_count, pack, squeeze, unpack, unsqueeze
 from mergewell.llm.suffixes import ragged
 
 #: Hidden states, words with emissions of their own, and classes of all other words.
@@ -40,18 +40,7 @@ class _Keys(dict):
         return key
 
 
-def _squeezed(numbers: np.ndarray) -> bytes:
-    planes = numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
-    return pa.compress(planes, codec="zstd", asbytes=True)
-
-
-def _unsqueezed(data: bytes, n: int, kind: type) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    planes = np.frombuffer(pa.decompress(data, n * size, codec="zstd", asbytes=True), np.uint8).reshape(size, n)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
-
-
-_ROW = "bucket int, block long, ids array<{kind}>, sizes binary, train binary, n_train long, tokens binary, n_tokens long, keys binary, counts binary, top array<bigint>, held array<bigint>, totals array<bigint>"
+_ROW = "bucket int, block long, ids array<{kind}>, sizes binary, train binary, n_train long, tokens binary, keys binary, counts binary, top array<bigint>, held array<bigint>, totals array<bigint>"
 _NAMES = [c.split()[0] for c in _ROW.split(", ")]
 
 
@@ -76,7 +65,7 @@ def _tokenized(buckets: int, kind: pa.DataType):
         return pa.RecordBatch.from_arrays([
             pa.array([*full, -1 - number % buckets], pa.int32()), pa.array([number] * (len(full) + 1), pa.int64()),
             pa.array([*none, ids], pa.list_(kind)), pa.array([*none, size.tobytes()], pa.binary()), pa.array([*none, train.tobytes()], pa.binary()), pa.array([*none, int(train.sum())], pa.int64()),
-            pa.array([*none, _squeezed(token.astype(np.uint32))], pa.binary()), pa.array([*none, len(token)], pa.int64()),
+            pa.array([*none, squeeze(token.astype(np.uint32))], pa.binary()),
             pa.array([*(pack(every[cut[b] : cut[b + 1]]) for b in full), None], pa.binary()), pa.array([*(counts[cut[b] : cut[b + 1]].tobytes() for b in full), None], pa.binary()),
             *(pa.array([None] * (len(full) + 1), pa.list_(pa.int64())) for _ in range(3)),
         ], names=_NAMES)
@@ -206,7 +195,7 @@ class _Batch:
 def _sequences(row: dict, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """A block's symbols with an end behind each document, starts, sizes, training flags, token numbers and counts."""
     size = np.frombuffer(row["sizes"], np.uint32).astype(np.int64)
-    token = _unsqueezed(row["tokens"], row["n_tokens"], np.uint32)
+    token = unsqueeze(row["tokens"], np.uint32)
     keys, counts = np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["counts"], np.uint64)
     flat = np.full(len(token) + len(size), model.end)
     start = np.concatenate([[0], np.cumsum(size + 1)[:-1]])

@@ -8,18 +8,22 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mergewell.llm.common import checkpointed
 from mergewell.llm.components import components
-from mergewell.llm.packing import bounds, bucket_count, mixed, pack, unpack
+from mergewell.llm.packing import bounds, bucket_count, mixed, pack, squeeze, unpack, unsqueeze
 
 WORDS = 5
 #: Text of one block of documents, and plan bytes for one bucket of shingles.
 BLOCK_CHARS, BUCKET_BYTES = 8_000_000, 6_000_000
 #: A shingle in more documents of a block than this sends its count to its bucket, and its documents straight to the block.
 HOT = 64
+#: Shingles travel as the first 48 bits of their hashes.
+SHIFT = np.uint64(16)
+#: Groups that share a shingle are paired at once up to this number; more are first compared with so many centres.
+PAIRED, CENTRES = 24, 6
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -71,6 +75,7 @@ def _deal(buckets: int, kind: pa.DataType):
     def block(number: int, ids: list, texts: list, words: _Words) -> pa.RecordBatch:
         h, owner = shingles(texts, words)
         n = np.bincount(owner, minlength=len(ids)).astype(np.uint32)
+        h = h >> SHIFT
         m = mixed(h ^ _ODD[0])
         prints = np.zeros((len(ids), 2), np.uint64)
         np.add.at(prints[:, 0], owner, m)
@@ -87,7 +92,7 @@ def _deal(buckets: int, kind: pa.DataType):
             s, e = cut[b], cut[b + 1]
             if s < e:
                 part = slice(at[s], at[e])
-                for c, x in zip(_MESSAGE.names, (b, number, pack(keys[s:e]), counts[s:e].astype(np.uint32).tobytes(), owner[part][~hot[part]].astype(np.uint32).tobytes(), None), strict=True):
+                for c, x in zip(_MESSAGE.names, (b, number, pack(keys[s:e]), counts[s:e].astype(np.uint32).tobytes(), squeeze(owner[part][~hot[part]].astype(np.uint32)), None), strict=True):
                     rows[c].append(x)
         named = pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(n), pa.array([p.tobytes() for p in prints], pa.binary(16))], names=["id", "n", "print"])
         sink = pa.BufferOutputStream()
@@ -98,7 +103,7 @@ def _deal(buckets: int, kind: pa.DataType):
             rows[c].append(x)
         return pa.RecordBatch.from_pydict(rows, _MESSAGE)
 
-    edges = bounds(buckets)
+    edges = bounds(buckets) >> SHIFT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
@@ -137,9 +142,9 @@ def _rank(groups: pa.Table) -> pa.Table:
         place = back[at : at + len(k)]
         at += len(k)
         shared = held[place] > 1
-        own = np.frombuffer(docs.as_py(), np.uint32)
+        own = unsqueeze(docs.as_py(), np.uint32)
         sent = np.where(c > HOT, 0, c)
-        for name, x in zip(out, (number.as_py(), pack(k[shared]), c[shared].tobytes(), own[np.repeat(shared, sent)].tobytes(), None, order[place[shared]].tobytes()), strict=True):
+        for name, x in zip(out, (number.as_py(), pack(k[shared]), c[shared].tobytes(), squeeze(own[np.repeat(shared, sent)]), None, order[place[shared]].tobytes()), strict=True):
             out[name].append(x)
     return pa.table([pa.array(out["block"], pa.int64()), *(pa.array(out[c], pa.binary()) for c in list(out)[1:])], names=list(out))
 
@@ -167,7 +172,7 @@ def _gather(kind: pa.DataType):
                 few = c <= HOT
                 keys.append(np.repeat(k[few], c[few]))
                 classes.append(np.repeat(cls[few], c[few]))
-                docs.append(np.frombuffer(r["docs"], np.uint32))
+                docs.append(unsqueeze(r["docs"], np.uint32))
                 for key, one in zip(k[~few], cls[~few], strict=True):
                     own = lists[np.searchsorted(often, key)]
                     keys.append(np.full(len(own), key, np.uint64))
@@ -211,16 +216,20 @@ def shared_shingles(docs: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` of set ids whose sets are similar enough."""
-    left = sets.select(F.col("set_id").alias("a"), F.col("n").alias("_na"), F.col("shared").alias("_sa"))
-    right = sets.select(F.col("set_id").alias("b"), F.col("n").alias("_nb"), F.col("shared").alias("_sb"))
+    """Of the pairs ``a, b`` of sets with their labels those that are similar enough."""
+    left = sets.select(F.col("set").alias("a"), F.col("n").alias("_na"), F.col("shared").alias("_sa"))
+    right = sets.select(F.col("set").alias("b"), F.col("n").alias("_nb"), F.col("shared").alias("_sb"))
     both = pairs.join(left, "a").join(right, "b").withColumn("_k", F.size(F.array_intersect("_sa", "_sb")))
-    return both.where(F.col("_k") * 175 >= (F.col("_na") + F.col("_nb")) * 75).select("a", "b")
+    return both.where(F.col("_k") * 175 >= (F.col("_na") + F.col("_nb")) * 75).select("label_a", "label_b")
 
 
-def _labels(links: DataFrame, sets: DataFrame) -> DataFrame:
-    found = components(links)
-    return sets.select("set_id").join(found, F.col("set_id") == F.col("node"), "left").select("set_id", F.coalesce("label", "set_id").alias("label"))
+def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components whose labels are linked get one label."""
+    found = components(links.select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))).select(F.col("node").alias("label"), F.col("label").alias("_top"))
+    return checkpointed(labels.join(found, "label", "left").select("set", "group", F.coalesce("_top", "label").alias("label")))
+
+
+_CAN_LINK = "4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b) and least(n_a - at_a, n_b - at_b) >= (3 * (n_a + n_b) + 6) div 7"
 
 
 def link(docs: DataFrame) -> DataFrame:
@@ -235,56 +244,67 @@ def link(docs: DataFrame) -> DataFrame:
        linked sets share a shingle of their prefixes. Shingles of one document
        come first, so most documents have nothing to compare and end here.
     2. Equal sets are one entry. Entries of equal size and prefix are one group.
-    3. Groups that share their most frequent prefix shingles are compared with
-       one centre of that shingle, members with a representative. This links
-       large groups of near copies with few comparisons.
-    4. All groups that share a prefix shingle are paired, by size and by what
-       the positions of the shingle leave possible, unless a component holds
-       both. What is left is expanded into members and verified. So no
-       link between components is lost, and pairs within one are never listed.
+    3. Where few groups share a prefix shingle all are paired. Where many do,
+       each is compared with a few centres that most lists have in common, and
+       members of a group with one of them. Pairs are left out that sizes or
+       the positions of the shingle exclude, the rest are verified. Thus large
+       sets of near copies become one component with few comparisons.
+    4. What may still be missing is exact: groups and members that share a
+       prefix shingle but no component are paired, expanded and verified.
+       Pairs within a component are never listed, and no link between
+       components is lost.
 
     Null or empty text, or text of white space: 0 shingles, its own component.
     Null doc_id: takes part, never names a component with other ids. Rows that
-    repeat a doc_id are separate documents. No rows, no rows. Shingles are
-    told apart by 64-bit hashes.
+    repeat a doc_id are separate documents. No rows, no rows. Sizes are by
+    64-bit hashes of shingles, overlaps by 48 bits of them.
     """
     table = checkpointed(shared_shingles(docs))
-    alive = table.where("set_id is not null")
-    sets = alive.groupBy("set_id").agg(F.first("shared", ignorenulls=True).alias("shared"), F.max("n_shingles").alias("n"), F.min("doc_id").alias("first_id"))
-    prefix = F.expr("n - int((3 * n + 3) div 4) + 1 - (n - size(shared))").cast("int")
-    sets = sets.withColumn("unique", F.col("n") - F.size("shared")).withColumn("prefix", F.slice("shared", 1, F.greatest(prefix, F.lit(0))))
+    sets = table.where("set_id is not null").groupBy("set_id").agg(F.first("shared", ignorenulls=True).alias("shared"), F.max("n_shingles").cast("int").alias("n"), F.min("doc_id").alias("first_id"))
+    unique = F.col("n") - F.size("shared")
+    prefix = F.slice("shared", 1, F.greatest(F.expr("int(n - (3 * n + 3) div 4 + 1)") - unique, F.lit(0)))
+    # numbers are far smaller than fingerprints; a checkpoint keeps them
+    sets = checkpointed(sets.withColumn("unique", unique).withColumn("prefix", prefix).withColumn("set", F.monotonically_increasing_id()))
     # a set with a shingle of its own has a prefix of its own
-    group = F.when(F.col("unique") == 0, F.concat_ws(":", F.col("n").cast("string"), F.sha2(F.to_json(F.struct("prefix")), 256))).otherwise(F.col("set_id"))
-    sets = checkpointed(sets.withColumn("group", group))
-    groups = sets.groupBy("group").agg(F.min("set_id").alias("head"), F.first("n").alias("n"), F.first("unique").alias("unique"), F.first("prefix").alias("prefix"))
-    groups = checkpointed(groups)
-
-    frequent = groups.select("group", "head", "n", F.explode(F.expr("slice(reverse(prefix), 1, 3)")).alias("token"))
-    centre = frequent.groupBy("token").agg(F.min(F.struct(F.xxhash64("token", "group").alias("h"), "group", "head", "n")).alias("c"))
-    stars = frequent.join(centre, "token").where("c.group <> group and 4 * least(n, c.n) >= 3 * greatest(n, c.n)")
-    stars = stars.select(F.least("head", "c.head").alias("a"), F.greatest("head", "c.head").alias("b"))
-    inside = sets.join(groups.select("group", "head"), "group").where("head <> set_id").select(F.col("head").alias("a"), F.col("set_id").alias("b"))
-    first = checkpointed(_verified(stars.unionByName(inside).distinct(), sets))
-    known = checkpointed(_labels(first, sets))
-
-    units = sets.select("set_id", "group").join(known, "set_id").groupBy("group", "label").agg(F.count("*").alias("members"))
-    tokens = groups.select("group", "n", "unique", F.posexplode("prefix").alias("at", "token")).join(units, "group")
-    tokens = tokens.select("token", "group", "label", "n", (F.col("unique") + F.col("at")).alias("at"))
-    mixed_ = tokens.groupBy("token").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi").select("token")
-    tokens = checkpointed(tokens.join(mixed_, "token"))
-    a, b = (tokens.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("group", "label", "n", "at"))) for s in "ab")
-    least = "int((3 * (n_a + n_b) + 6) div 7)"
-    pairs = a.join(b, "token").where(f"label_a < label_b and 4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b) and least(n_a - at_a, n_b - at_b) >= {least}")
-    pairs = pairs.select("group_a", "label_a", "group_b", "label_b").distinct()
-    member = sets.select("set_id", "group").join(known, "set_id")
-    pairs = pairs.join(member.select(F.col("group").alias("group_a"), F.col("label").alias("label_a"), F.col("set_id").alias("a")), ["group_a", "label_a"])
-    pairs = pairs.join(member.select(F.col("group").alias("group_b"), F.col("label").alias("label_b"), F.col("set_id").alias("b")), ["group_b", "label_b"])
-    second = checkpointed(_verified(pairs.select("a", "b"), sets).join(known.select(F.col("set_id").alias("a"), F.col("label").alias("_a")), "a").join(known.select(F.col("set_id").alias("b"), F.col("label").alias("_b")), "b"))
-
-    # components of the first links are nodes for the second ones
-    merged = components(second.select(F.col("_a").alias("a"), F.col("_b").alias("b"))).select(F.col("node").alias("label"), F.col("label").alias("_top"))
-    final = known.join(merged, "label", "left").select("set_id", F.coalesce("_top", "label").alias("_top"))
-    final = sets.select("set_id", "first_id").join(final, "set_id")
-    names = final.groupBy("_top").agg(F.min("first_id").alias("component_id"))
-    final = final.join(names, "_top").select("set_id", "component_id")
+    same = F.when(F.col("unique") == 0, F.sha2(F.concat_ws(":", F.col("n").cast("string"), F.array_join(F.col("prefix").cast("array<string>"), ",")), 256)).otherwise(F.col("set_id"))
+    groups = sets.groupBy(same.alias("_same")).agg(F.min("set").alias("group"))
+    labels = checkpointed(sets.select("set", same.alias("_same")).join(groups, "_same").select("set", "group", F.col("set").alias("label")))
+    members = labels.groupBy("group").agg(F.count("*").alias("members"))
+    tokens = members.join(sets.select(F.col("set").alias("group"), "n", "unique", "prefix"), "group")
+    tokens = tokens.select("group", "members", "n", "unique", F.posexplode("prefix").alias("at", "token")).select("token", "group", "members", "n", (F.col("unique") + F.col("at")).alias("at"))
+    of_token = Window.partitionBy("token")
+    tokens = tokens.withColumns({"held": F.count("*").over(of_token), "most": F.max("members").over(of_token)}).where("held > 1 or most > 1")
+    tokens = checkpointed(tokens)
+    sides = [tokens.select("token", "held", *(F.col(c).alias(f"{c}_{s}") for c in ("group", "n", "at"))) for s in "ab"]
+    few = sides[0].where(f"held <= {PAIRED}").join(sides[1].where(f"held <= {PAIRED}").drop("held"), "token").where(f"group_a < group_b and {_CAN_LINK}").select("group_a", "group_b")
+    row = [F.col(c).alias(f"{c}_b") for c in ("group", "n", "at")]
+    centres = tokens.where(f"held > {PAIRED}").groupBy("token").agg(*(F.min(F.struct(F.xxhash64(F.lit(c), "group").alias("_h"), *row)).alias(f"_{c}") for c in range(CENTRES)))
+    centres = centres.select("token", F.explode(F.array_distinct(F.array(*(F.struct(*(F.col(f"_{c}")[f"{x}_b"].alias(f"{x}_b") for x in ("group", "n", "at"))) for c in range(CENTRES))))).alias("_c")).select("token", "_c.*")
+    many = sides[0].where(f"held > {PAIRED}").join(centres, "token").where(f"group_a <> group_b and {_CAN_LINK}").select(F.least("group_a", "group_b").alias("group_a"), F.greatest("group_a", "group_b").alias("group_b"))
+    heads = few.unionByName(many).distinct().toDF("a", "b")
+    inside = labels.where("set <> group").select(F.col("group").alias("a"), F.col("set").alias("b"))
+    pairs = heads.unionByName(inside).select("a", "b", F.col("a").alias("label_a"), F.col("b").alias("label_b"))
+    labels = _relabelled(labels, checkpointed(_verified(pairs, sets)))
+
+    # long lists, and groups of several members: by component, the largest of a shingle against the others
+    units = labels.select("group", "label").distinct()
+    rest = tokens.where(f"held > {PAIRED} or most > 1").select("token", "group", "n", "at").join(units, "group")
+    size = rest.groupBy("token", "label").agg(F.count("*").alias("_size")).groupBy("token").agg(F.max(F.struct("_size", "label")).alias("_m"), F.count("*").alias("_labels"))
+    rest = rest.join(size.where("_labels > 1").select("token", F.col("_m.label").alias("main")), "token")
+    rest = checkpointed(rest.join(sets.select(F.col("set").alias("group"), "prefix"), "group"))
+    if not rest.isEmpty():
+        a = rest.where("label <> main").select("token", "main", *(F.col(c).alias(f"{c}_a") for c in ("group", "label", "n", "at", "prefix")))
+        b = rest.select("token", *(F.col(c).alias(f"{c}_b") for c in ("group", "label", "n", "at", "prefix")))
+        # a pair counts under the first shingle of both prefixes alone
+        first = "element_at(array_intersect(prefix_a, prefix_b), 1) = token"
+        pairs = a.join(b, "token").where(f"(label_b = main or label_a < label_b) and {_CAN_LINK} and {first}").select("group_a", "label_a", "group_b", "label_b").distinct()
+        for s in "ab":
+            pairs = pairs.join(labels.select(F.col("group").alias(f"group_{s}"), F.col("label").alias(f"label_{s}"), F.col("set").alias(s)), [f"group_{s}", f"label_{s}"])
+        links = checkpointed(_verified(pairs, sets))
+        if not links.isEmpty():
+            labels = _relabelled(labels, links)
+
+    final = sets.select("set", "set_id", "first_id").join(labels, "set")
+    names = final.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    final = final.join(names, "label").select("set_id", "component_id")
     return table.join(final, "set_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

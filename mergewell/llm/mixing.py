@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from mergewell.llm.common import WORD, checkpointed, seeded
 
-#: Each source is cut into this many hash ranges, so that no task holds a whole source.
-RANGES = 4096
-
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -43,45 +40,76 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int
     )
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3, seed: int = 11, keep: tuple[str, ...] = ()) -> DataFrame:
-    """How often each document of ``doc_id, text, source`` enters the mix.
+def _keyed(docs: DataFrame, seed: int) -> DataFrame:
+    """Each row as a struct, beside its size, source and place in the seeded order."""
+    return docs.select(
+        F.struct(*docs.columns).alias("_row"), "doc_id", word_count(F.col("text")).alias("_size"),
+        F.coalesce("source", F.lit("")).alias("_source"), F.isnull("source").alias("_none"), seeded(seed, F.col("doc_id")).alias("_order"),
+    )
 
-    Returns one row for each input row: ``doc_id, size`` (words),
-    ``source_size, target, repeats, taken`` and the ``keep`` columns. Each
-    document is taken ``floor(target / source_size)`` times; the rest of the
-    target is filled with documents in a seeded order, cut where the running
-    size comes nearest, so a source misses its target by half of one document
-    at most. Running sums are taken in hash ranges of a source, whose totals
-    are summed separately: a source with a third of all rows is still spread
-    over thousands of tasks.
 
-    Null or empty text: size 0, taken 0. Null source: a source of its own, the
-    last. Repeated rows are separate documents. No rows: no rows. Other
-    columns are left out unless in ``keep``.
+KEY = ["_source", "_none"]
+
+
+def _cuts(rows: DataFrame, weights: tuple[int, ...], epochs: int) -> DataFrame:
+    """For each source its size and target, how often it is taken whole, and the last row taken once more.
+
+    Running sums are taken in hash ranges of a source, whose totals are
+    summed separately: a source with a third of all rows is still spread over
+    thousands of tasks.
     """
-    size = word_count(F.col("text"))
-    h = seeded(seed, F.col("doc_id"))
-    rows = docs.select(
-        "doc_id", size.alias("_size"), F.coalesce("source", F.lit("")).alias("_source"), F.isnull("source").alias("_none"), h.alias("_h"),
-        F.shiftright(h, 48).alias("_range"), *(F.col(c).alias(f"_keep_{c}") for c in keep),
-    )
-    rows = checkpointed(rows)
-    key = ["_source", "_none"]
-    ranges = rows.groupBy(*key, "_range").agg(F.sum("_size").alias("_in_range"))
-    so_far = Window.partitionBy(*key).orderBy("_range")
-    ranges = ranges.select(*key, "_range", (F.sum("_in_range").over(so_far) - F.col("_in_range")).alias("_before"))
-    sizes = rows.groupBy(*key).agg(F.sum("_size").alias("source_size"))
+    rows = rows.withColumn("_range", F.shiftright("_order", 48))
+    ranges = rows.groupBy(*KEY, "_range").agg(F.sum("_size").alias("_in_range"))
+    so_far = Window.partitionBy(*KEY).orderBy("_range")
+    ranges = ranges.select(*KEY, "_range", (F.sum("_in_range").over(so_far) - F.col("_in_range")).alias("_before"))
+    sizes = rows.groupBy(*KEY).agg(F.sum("_size").alias("source_size"))
     goals = targets(sizes.select(F.when(~F.col("_none"), F.col("_source")).alias("source"), "source_size"), weights, epochs)
-    goals = goals.select(F.coalesce("source", F.lit("")).alias("_source"), F.isnull("source").alias("_none"), "source_size", "target")
-    ranges = ranges.join(goals, key)
-    inside = Window.partitionBy(*key, "_range").orderBy("_h", "doc_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
-    running = F.sum("_size").over(inside)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    part = F.col("target") - whole * F.col("source_size")
-    extra = (F.col("_before") + F.col("_running") - F.col("_size") / 2.0 <= part) & (F.col("_size") > 0)
-    return (
-        rows.withColumn("_running", running)
-        .join(ranges, [*key, "_range"])
-        .withColumn("repeats", (whole + extra.cast("int")).cast("int"))
-        .select("doc_id", F.col("_size").alias("size"), "source_size", "target", "repeats", (F.col("_size") * F.col("repeats")).alias("taken"), *(F.col(f"_keep_{c}").alias(c) for c in keep))
-    )
+    goals = goals.select(F.coalesce("source", F.lit("")).alias("_source"), F.isnull("source").alias("_none"), "source_size", "target", whole.alias("_whole"))
+    inside = Window.partitionBy(*KEY, "_range").orderBy("_order", "doc_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_running", F.sum("_size").over(inside)).join(ranges.join(goals, KEY), [*KEY, "_range"])
+    fits = F.col("_before") + F.col("_running") - F.col("_size") / 2.0 <= F.col("target") - F.col("_whole") * F.col("source_size")
+    return rows.groupBy(*KEY).agg(
+        F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.first("_whole").alias("_whole"),
+        F.max(F.when(fits & (F.col("_size") > 0), F.struct("_order", "doc_id", "_size"))).alias("_cut"),
+    )
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3, seed: int = 11) -> DataFrame:
+    """How often each document of ``doc_id, text, source`` enters the mix.
+
+    Returns each input row with ``size`` (words), ``source_size, target,
+    repeats`` and ``taken``; columns of these names are replaced. Each document
+    is taken ``floor(target / source_size)`` times; the rest of the target
+    is filled with documents in a seeded order, cut where the running size
+    comes nearest, so a source misses its target by half of one document
+    at most. What a source's rows need to know is one row for each source.
+
+    Null or empty text: size 0, taken 0. Null source: a source of its own, the
+    last. Repeated rows are separate documents. No rows: no rows.
+    """
+    rows = checkpointed(_keyed(docs.select("doc_id", "text", "source"), seed).drop("_row"))
+    out = _marked(_keyed(docs, seed), _cuts(rows, weights, epochs))
+    names = ["size", "source_size", "target", "repeats", "taken"]
+    return out.select(*(F.col("_row")[c].alias(c) for c in docs.columns if c not in names), *names)
+
+
+#: Up to so many sources with so many bytes of names are broadcast; more are joined.
+BROADCAST_SOURCES, BROADCAST_BYTES = 20_000, 4_000_000
+
+
+def _marked(keyed: DataFrame, cuts: DataFrame) -> DataFrame:
+    cuts = checkpointed(cuts)
+    seen = cuts.agg(F.count("*").alias("sources"), F.sum(F.octet_length("_source")).alias("names")).first()
+    if seen.sources <= BROADCAST_SOURCES and (seen.names or 0) <= BROADCAST_BYTES:
+        cuts = F.broadcast(cuts)
+    once_more = F.coalesce((F.struct("_order", "doc_id", "_size") <= F.col("_cut")) & (F.col("_size") > 0), F.lit(False))
+    out = keyed.join(cuts, KEY).withColumn("repeats", (F.col("_whole") + once_more.cast("int")).cast("int"))
+    return out.select("_row", F.col("_size").alias("size"), "source_size", "target", "repeats", (F.col("_size") * F.col("repeats")).alias("taken"))
+
+
+def repeated(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: the rows of ``docs``, each as often as ``mix`` takes it."""
+    rows = docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("_all"))
+    taken = mix(rows, **options).where("repeats > 0")
+    return taken.select("_all", F.explode(F.sequence(F.lit(1), F.col("repeats")))).select("_all.*")

@@ -3,17 +3,29 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 
+def squeeze(numbers: np.ndarray) -> bytes:
+    """Numbers by byte position, compressed, behind their count."""
+    planes = numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+    return len(numbers).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unsqueeze(data: bytes, kind: type) -> np.ndarray:
+    n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data[8:], n * size, codec="zstd", asbytes=True), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def pack(keys: np.ndarray) -> bytes:
-    """Differences of sorted keys by byte position; the high bytes are zeros, which compress."""
-    return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Sorted keys as their differences."""
+    return squeeze(np.diff(keys, prepend=np.uint64(0)))
 
 
 def unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+    return np.cumsum(unsqueeze(data, np.uint64), dtype=np.uint64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

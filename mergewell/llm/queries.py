@@ -127,7 +127,8 @@ FROM pairs QUALIFY rank <= 10
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).drop("repeats")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
 OP10_SQL = r"""

@@ -20,7 +20,9 @@ import numpy as np
 def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """All of start[k], start[k] + 1, ... (size[k] numbers), one after the other."""
     ends = np.cumsum(size)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
+    out = np.arange(ends[-1] if len(ends) else 0, dtype=start.dtype)
+    out += np.repeat((start - (ends - size)).astype(start.dtype), size)
+    return out
 
 
 def suffix_array(text: list[int]) -> list[int]:
@@ -37,7 +39,8 @@ def suffix_array(text: list[int]) -> list[int]:
     while top >= 0:
         low = group[sa[top]]
         grown: dict[int, int] = {}
-        for i in sa[low : top + 1]:
+        # in the order of positions, so that the prev of a member before is known
+        for i in sorted(sa[low : top + 1]) if low < top else (sa[low],):
             p = prev[i]
             while p >= 0 and group[p] >= low:
                 p = prev[p]
@@ -86,17 +89,21 @@ def suffix_arrays(text: np.ndarray, start: np.ndarray) -> np.ndarray:
     """
     n, texts = len(text), len(start) - 1
     sizes = np.diff(start)
-    owner = np.repeat(np.arange(texts), sizes)
-    sa = np.lexsort((text, owner))
-    place = np.empty(n, np.int64)
-    place[sa] = np.arange(n)
+    # positions take 4 bytes where they fit
+    kind = np.int32 if n < 1 << 31 else np.int64
+    start, sizes = start.astype(kind), sizes.astype(kind)
+    owner = np.repeat(np.arange(texts, dtype=kind), sizes)
+    sa = np.lexsort((text, owner)).astype(kind)
+    place = np.empty(n, kind)
+    place[sa] = np.arange(n, dtype=kind)
     new = np.ones(n, bool)
     new[1:] = (owner[sa[1:]] != owner[sa[:-1]]) | (text[sa[1:]] != text[sa[:-1]])
     first = np.flatnonzero(new)
-    group, end = np.empty(n, np.int64), np.empty(n, np.int64)
+    group, end = np.empty(n, kind), np.empty(n, kind)
     group[sa] = np.repeat(first, np.diff(np.append(first, n)))
     end[first] = np.append(first[1:], n) - 1
-    prev = np.arange(-1, n - 1)
+    del owner, new
+    prev = np.arange(-1, n - 1, dtype=kind)
     prev[start[:-1][sizes > 0]] = -1
     moving = np.zeros(n, bool)
     live = np.flatnonzero(sizes > 0)
@@ -146,7 +153,7 @@ def suffix_arrays(text: np.ndarray, start: np.ndarray) -> np.ndarray:
         head = to[begin]
         group[grown] = np.repeat(head, np.diff(np.append(begin, len(to))))
         end[head] = to[np.append(begin[1:], len(to)) - 1]
-    out, free, done = np.full(n, -1), np.arange(n), np.zeros(n, bool)
+    out, free, done = np.full(n, -1, kind), np.arange(n, dtype=kind), np.zeros(n, bool)
     floor, ceiling = start[:-1], start[1:]
     live = np.flatnonzero(sizes > 0)
     at = start[:-1] - 1
@@ -173,7 +180,7 @@ def suffix_arrays(text: np.ndarray, start: np.ndarray) -> np.ndarray:
 ALONE = 6000
 
 
-def sorted_suffixes(text: np.ndarray, start: np.ndarray, together: int = 1_000_000) -> np.ndarray:
+def sorted_suffixes(text: np.ndarray, start: np.ndarray, together: int = 400_000) -> np.ndarray:
     """``suffix_arrays`` in batches of similar sizes; long texts go through ``suffix_array``."""
     sizes = np.diff(start)
     out = np.empty(len(text), np.int64)

@@ -42,6 +42,14 @@ def test_mix_meets_targets(spark):
         taken = sum(g.taken for g in got if (g.source_size, round(g.target, 6)) == (size[n], round(goal[n], 6)))
         assert abs(taken - goal[n]) <= 8, n
     assert all(g.taken <= 3 * g.size for g in got)
+    often = Counter((g.doc_id, g.text, g.source) for g in got for _ in range(g.repeats))
+    assert Counter((r.doc_id, r.text, r.source) for r in mixing.repeated(docs(spark, ROWS)).collect()) == often
+
+
+def test_mix_without_broadcast(spark, monkeypatch):
+    want = mixing.mix(docs(spark, ROWS)).collect()
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert sorted(map(str, mixing.mix(docs(spark, ROWS)).collect())) == sorted(map(str, want))
 
 
 def test_mix_of_nothing(spark):
