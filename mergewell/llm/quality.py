@@ -16,7 +16,17 @@ WINDOW = 8
 TRAIN_DOCS, TRAIN_LINES = 1500, 2000
 #: A document stays if at least this share of its characters is on content lines.
 CONTENT_SHARE = 0.5
-N_FEATURES = 30
+#: The features of a line, in the order of ``features``.
+FEATURES = (
+    "any", "words<=2", "words3-5", "words6-10", "words11-20", "words>20", "words>60",
+    "symbols2%", "symbols10%", "symbols30%", "digits5%", "digits20%", "bars10%", "bars30%",
+    "fresh<75%", "fresh<50%", "fresh<25%", "fresh<10%",
+    "ends_sentence", "ends_clause", "ends_quote", "not_lower", "upper_or_wide",
+    "mean<3", "mean>8", "mean>14", "seen", "link", "at_sign", "indented", "all_upper",
+)
+N_FEATURES = len(FEATURES)
+_BITS = tuple(1 << k for k in range(N_FEATURES))
+SEEN = _BITS[FEATURES.index("seen")]
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -49,10 +59,10 @@ def repeated_words(words: list[bytes]) -> int:
 
 
 def features(line: bytes, words: list[bytes], seen: bool) -> int:
-    """The binary features of a line as bits."""
-    n, chars = len(words), sum(map(len, words))
+    """The binary features of a line as bits; lengths are in code points."""
+    n, chars = len(words), sum(map(len, words)) if line.isascii() else len(b"".join(words).decode())
     symbols = sum(map(line.count, (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">", b"{", b"}", b"=", b"_")))
-    digits = sum(c in b"0123456789" for c in line) if any(c in line for c in (b"0", b"1", b"2", b"3", b"5")) else 0
+    digits = len(line) - len(line.translate(None, b"0123456789"))
     bars = sum(1 for w in words if len(w) == 1 and w in b"|*#-=>")
     fresh, mean = len(set(words)) / n, chars / n
     last, first = words[-1][-1:], words[0][:1]
@@ -66,7 +76,7 @@ def features(line: bytes, words: list[bytes], seen: bool) -> int:
         mean < 3, mean > 8, mean > 14, seen,
         b"http" in line or b"www." in line, b"@" in line, line[:1] in b" \t", line.isupper(),
     ]
-    return sum(1 << k for k, x in enumerate(on) if x)
+    return sum(b for b, x in zip(_BITS, on, strict=True) if x)
 
 
 def lines_of(data: bytes) -> tuple[list[int], list[int], int]:
@@ -180,8 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 3) -> Crf | None:
     rows = sorted((r.good, list(r.bits)) for r in sample.mapInArrow(run, "good int, bits array<bigint>").collect())
     if len({g for g, _ in rows}) < 2:
         return None
-    again = 1 << 25
-    return Crf.trained([np.array(b, np.int64) for _, b in rows], [np.array([int(g and not x & again) for x in b]) for g, b in rows])
+    return Crf.trained([np.array(b, np.int64) for _, b in rows], [np.array([int(g and not x & SEEN) for x in b]) for g, b in rows])
 
 
 def judge(docs: DataFrame, model: Crf | None, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -81,3 +81,28 @@ def test_held_out_documents(spark):
     good, bad = [r.kept for r in got if r.quality == 1], [r.kept for r in got if r.quality == 0]
     assert np.mean(good) > 0.97 and np.mean(bad) < 0.3, (np.mean(good), np.mean(bad))
     assert quality.fit(docs, labels.where("quality = 1")) is None and quality.fit(docs, labels.limit(0)) is None
+
+
+LONG = "அவர்களுக்காகவும் நிறுவனங்களுக்கும் தொழிலாளர்களுக்கும் பல்கலைக்கழகத்தில்"
+
+
+def test_labels_of_lines(spark, monkeypatch):
+    ascii_long = "incomprehensibilities counterrevolutionaries"
+    docs = spark.createDataFrame([(1, f"{LONG}\none line\n{ascii_long}\none line"), (2, "bad line\nbad line")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    seen = {}
+    monkeypatch.setattr(quality.Crf, "trained", classmethod(lambda cls, lines, y: seen.update({len(b): b.tolist() for b in y})))
+    quality.fit(docs, labels)
+    assert seen == {4: [1, 1, 1, 0], 2: [0, 0]}
+
+
+def names(line, seen=False):
+    bits = quality.features(line.encode(), line.encode().split(), seen)
+    return {n for k, n in enumerate(quality.FEATURES) if bits >> k & 1}
+
+
+def test_features():
+    assert "seen" in names("a b", True) and "seen" not in names("a b") and quality.N_FEATURES == 31
+    assert "all_upper" in names("ALL OF IT") and quality._unpacked(np.array([1 << 30])).sum() == 1
+    assert "digits20%" in names("44 ab") and "digits20%" in names("9876 ab") and "digits5%" not in names("ab cd")
+    assert not {"mean>8", "mean>14"} & names("வணக்கம் நண்பர்") and {"mean>8", "mean>14"} <= names("x" * 15)
