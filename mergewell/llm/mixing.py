@@ -54,6 +54,8 @@ KEY = ["_source", "_none"]
 def _cuts(rows: DataFrame, weights: tuple[int, ...], epochs: int) -> DataFrame:
     """For each source its size and target, how often it is taken whole, and the last row taken once more.
 
+    Of rows that are level with the last one, ``_tied`` in number, the first ``_tie`` are taken.
+
     Running sums are taken in hash ranges of a source, whose totals are
     summed separately: a source with a third of all rows is still spread over
     thousands of tasks.
@@ -67,11 +69,13 @@ def _cuts(rows: DataFrame, weights: tuple[int, ...], epochs: int) -> DataFrame:
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     goals = goals.select(F.coalesce("source", F.lit("")).alias("_source"), F.isnull("source").alias("_none"), "source_size", "target", whole.alias("_whole"))
     inside = Window.partitionBy(*KEY, "_range").orderBy("_order", "doc_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_running", F.sum("_size").over(inside)).join(ranges.join(goals, KEY), [*KEY, "_range"])
+    level = Window.partitionBy(*KEY, "_range", "_order", "doc_id", "_size")
+    rows = rows.withColumn("_running", F.sum("_size").over(inside)).withColumns({"_tie": F.row_number().over(level.orderBy("_running")), "_tied": F.count("*").over(level)})
+    rows = rows.join(ranges.join(goals, KEY), [*KEY, "_range"])
     fits = F.col("_before") + F.col("_running") - F.col("_size") / 2.0 <= F.col("target") - F.col("_whole") * F.col("source_size")
     return rows.groupBy(*KEY).agg(
         F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.first("_whole").alias("_whole"),
-        F.max(F.when(fits & (F.col("_size") > 0), F.struct("_order", "doc_id", "_size"))).alias("_cut"),
+        F.max(F.when(fits & (F.col("_size") > 0), F.struct("_order", "doc_id", "_size", "_tie", "_tied"))).alias("_cut"),
     )
 
 
@@ -100,11 +104,18 @@ BROADCAST_SOURCES, BROADCAST_BYTES = 20_000, 4_000_000
 
 def _marked(keyed: DataFrame, cuts: DataFrame) -> DataFrame:
     cuts = checkpointed(cuts)
-    seen = cuts.agg(F.count("*").alias("sources"), F.sum(F.octet_length("_source")).alias("names")).first()
+    seen = cuts.agg(F.count("*").alias("sources"), F.sum(F.octet_length("_source")).alias("names"), F.max(F.expr("_cut._tie < _cut._tied")).alias("split")).first()
     if seen.sources <= BROADCAST_SOURCES and (seen.names or 0) <= BROADCAST_BYTES:
         cuts = F.broadcast(cuts)
-    once_more = F.coalesce((F.struct("_order", "doc_id", "_size") <= F.col("_cut")) & (F.col("_size") > 0), F.lit(False))
-    out = keyed.join(cuts, KEY).withColumn("repeats", (F.col("_whole") + once_more.cast("int")).cast("int"))
+    last = F.struct(*(F.col("_cut")[c].alias(c) for c in ("_order", "doc_id", "_size")))
+    place, both = F.struct("_order", "doc_id", "_size"), keyed.join(cuts, KEY)
+    once_more = F.coalesce((place <= last) & (F.col("_size") > 0), F.lit(False))
+    out = both.withColumn("_more", once_more)
+    if seen.split:
+        split = F.coalesce((place == last) & F.expr("_cut._tie < _cut._tied"), F.lit(False))
+        turn = F.row_number().over(Window.partitionBy(*KEY).orderBy(F.to_json("_row")))
+        out = out.where(~split).unionByName(both.where(split).withColumn("_more", turn <= F.col("_cut._tie")))
+    out = out.withColumn("repeats", (F.col("_whole") + F.col("_more").cast("int")).cast("int"))
     return out.select("_row", F.col("_size").alias("size"), "source_size", "target", "repeats", (F.col("_size") * F.col("repeats")).alias("taken"))
 
 

@@ -52,6 +52,16 @@ def test_mix_without_broadcast(spark, monkeypatch):
     assert sorted(map(str, mixing.mix(docs(spark, ROWS)).collect())) == sorted(map(str, want))
 
 
+@pytest.mark.parametrize("same", [None, 4])
+def test_level_rows_are_cut_too(spark, same):
+    rows = [(k, "w " * 10, "a") for k in range(30)] + [(same, f"{k} " * 10, "b") for k in range(100)] + [(same, "x " * 10, "b")] * 10
+    got = mixing.mix(docs(spark, rows)).collect()
+    assert len(got) == len(rows)
+    for s in "ab":
+        own = [r for r in got if r.source == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 5, (s, sum(r.taken for r in own), own[0].target)
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix(docs(spark, [])).count() == 0
     assert [r.taken for r in mixing.mix(docs(spark, [(1, None, "a"), (2, " ", None)])).collect()] == [0, 0]
