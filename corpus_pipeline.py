@@ -9,10 +9,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from mergewell.llm import bpe, dedup, jaccard, mixing, quality
+from mergewell.llm.common import checkpointed
 from mergewell.llm.queries import tokenizer_file
 
 
@@ -23,14 +25,29 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.judge(docs, model, keep=others).where("kept").select(*docs.columns)
 
 
+def _row_key(docs: DataFrame) -> Column:
+    """A string for each ``doc_id`` and text, in the order of ids; rows without an id come last."""
+    own = F.col("doc_id")
+    if isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        own = F.lpad(F.hex(own.cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    own = F.coalesce(F.concat(F.lit("0"), own.cast("string")), F.lit("1"))
+    return F.concat(own, F.lit("\0"), F.md5(F.encode(F.coalesce("text", F.lit("")), "UTF-8")))
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id stays.
+    """Of each group of linked rows one with the smallest doc_id stays.
 
-    Rows that repeat a doc_id are one document, rows without one all stay.
+    Rows are documents of their own, also those that repeat a doc_id or have
+    none; a row without one stays only if no row of its group has one. Rows
+    without a word link to nothing and stay.
     """
-    heads = jaccard.link(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    keyed = docs.withColumn("_key", _row_key(docs))
+    links = jaccard.link(keyed.select(F.col("_key").alias("doc_id"), "text")).where("doc_id = component_id")
+    heads = checkpointed(links.groupBy(F.col("doc_id").alias("_key")).agg(((F.count("*") > 1) & (F.max("n_shingles") > 0)).alias("_again")))
+    kept = keyed.join(heads.where("not _again"), "_key", "left_semi")
+    if not (again := heads.where("_again")).isEmpty():
+        kept = kept.unionByName(keyed.join(again, "_key", "left_semi").dropDuplicates(["_key"]))
+    return kept.select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,6 +48,17 @@ def test_near_copies(spark, rows, sf_dir):
     assert Counter(map(tuple, got.collect())) == Counter([r for r in rows if r[0] in heads] + own[-2:-1])
 
 
+def test_near_copies_by_row(spark, sf_dir):
+    rng = random.Random(3)
+    a, b, c, d, e = (prose(rng, 40) for _ in range(5))
+    kept = [(5, a, "en", "s", 1), (5, b, "en", "s", 2), (-2, c, "en", "s", 3), (None, d, "en", "s", 4), (10, e, "en", "s", 5), (None, "", "en", "s", 6), (None, "", "en", "s", 6)]
+    gone = [(5, a, "en", "s", 1), (None, b, "en", "s", 7), (1, c, "en", "s", 8), (None, f"{d} more", "en", "s", 9), (None, d, "en", "s", 4), (100, e, "en", "s", 9)]
+    got = Counter(map(tuple, STAGES["n-gram Jaccard join"](spark, frame(spark, kept + gone), sf_dir).collect()))
+    of_d = [r for r in got if r[1].startswith(d)]
+    assert len(of_d) == 1 and got[of_d[0]] == 1
+    assert Counter({r: n for r, n in got.items() if r not in of_d}) == Counter(r for r in kept if r[1] != d)
+
+
 def test_repeated_passages(spark, rows, sf_dir):
     got = {r.doc_id: r for r in STAGES["suffix-array dedup"](spark, frame(spark, rows), sf_dir).collect()}
     for i, size, _, _, kept in repeated([(r[0], r[1]) for r in rows]):
