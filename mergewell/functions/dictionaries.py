@@ -80,3 +80,12 @@ SOUND_STRINGS = (
     ("ch", "c"), ("ck", "k"), ("c", "k"), ("q", "k"), ("x", "ks"), ("z", "s"), ("w", "v"), ("y", "i"), ("'", ""), ("d", "t"),
 )
 SOUND_DOUBLED = "bfgjklmnprstv"
+
+#: Cleaning of a name in lower case, in this order: initials, web addresses, domain endings, "&", marks.
+NAME_PATTERNS = (
+    (r"\b([a-z])\.", "$1"), (r"\|?\s*(?:https?://)?www\.[^\s|]+", " "), (r"\.(?:com|in|net|org|co|fr|us|biz|info)\b", " "),
+    ("&", " and "), ("[^a-z0-9 ]", " "),
+)
+
+#: Cleaning of an address in lower case, in this order: ordinals, marks, leading zeros.
+ADDRESS_PATTERNS = ((r"(\d+)\s*(?:st|nd|rd|th)\b", "$1"), ("[^a-z0-9 ]", " "), (r"\b0+(\d)", "$1"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -30,24 +31,58 @@ _SIGNS = dict(zip(range(0x3E, 0x4D), "a i i u u r r e e e ai o o o au".split(),
 _INDIC = _CONSONANTS | _VOWELS | _SIGNS | {0x01: "n", 0x02: "n", 0x03: "h", 0x4D: "", 0x3C: "", 0x3D: "", 0x50: "om"}
 _INDIC |= {0x58 + k: s for k, s in enumerate("k kh g z r rh f y".split())} | {0x66 + k: str(k) for k in range(10)}
 
+#: Letters of other alphabets, in the order of their code points; "·" stands for nothing.
+_ALPHABETS = {
+    0x0391: "A V G D E Z I Th I K L M N X O P R · S T Y F Ch Ps O I Y a e i i y a v g d e z i th i k l m n x o p r s s t y f ch ps o i y o y o",
+    0x0410: "A B V G D E Zh Z I Y K L M N O P R S T U F Kh Ts Ch Sh Shch · Y · E Yu Ya a b v g d e zh z i y k l m n o p r s t u f kh ts ch sh shch · y · e yu ya e yo dj gj ye z i yi j lj nj c kj i u dz",
+    0x05D0: "a b g d h v z h t y k k l m m n n s p p p ts ts k r sh t",
+    0x0621: "· a a w i y a b h t th j h kh d dh r z s sh s d t z a gh",
+    0x0641: "f q k l m n h w y y",
+    0x0561: "a b g d e z e y t zh i l kh ts k h dz gh ch m y n sh o ch p j rr s v t r ts w p k o f",
+    0x10D0: "a b g d e v z t i k l m n o p zh r s t u p k gh q sh ch ts dz ts ch kh j h",
+}
+_LETTERS = {start + k: "" if s == "·" else s for start, row in _ALPHABETS.items() for k, s in enumerate(row.split())}
+
+
+def _named(ch: str) -> str | None:
+    """Kana and Hangul by their standard names, which spell them; None for other characters."""
+    name = unicodedata.name(ch, "")
+    for prefix in ("HIRAGANA LETTER ", "KATAKANA LETTER ", "HANGUL SYLLABLE "):
+        if name.startswith(prefix):
+            return name.removeprefix(prefix).removeprefix("SMALL ").lower()
+    return None
+
+
+@lru_cache(maxsize=1 << 16)
+def _spelled(ch: str) -> str:
+    """One character as ASCII; a blank if nothing is known of it, nothing for a combining mark."""
+    c = ord(ch)
+    if c < 128:
+        return ch
+    if ch in _SPECIAL:
+        return _SPECIAL[ch]
+    if 0x900 <= c < 0xD80:
+        return "n" if ch in NASAL_SIGNS[: 3 * 9] and c % 0x80 in (1, 2) or c == 0x900 else _INDIC.get(c % 0x80, "")
+    if c in _LETTERS:
+        return _LETTERS[c]
+    if unicodedata.category(ch) == "Nd":
+        return str(unicodedata.digit(ch))
+    if (name := _named(ch)) is not None:
+        return name
+    plain = unicodedata.normalize("NFKD", ch)
+    if plain[0] != ch:
+        return "".join(_spelled(x) for x in plain if not unicodedata.combining(x)) if plain[0].isalnum() else " "
+    return "" if unicodedata.combining(ch) else " "
+
 
 def romanize(text: str) -> str:
-    """ASCII for a text: accents folded, Indic scripts spelled without inherent vowels, the rest blank."""
-    if text.isascii():
-        return text
-    out = []
-    for ch in unicodedata.normalize("NFKC", text):
-        c = ord(ch)
-        if c < 128:
-            out.append(ch)
-        elif ch in _SPECIAL:
-            out.append(_SPECIAL[ch])
-        elif 0x900 <= c < 0xD80:
-            out.append("n" if ch in NASAL_SIGNS[: 3 * 9] and c % 0x80 < 3 and c % 0x80 != 0 or c % 0x80 == 0 and c < 0x980 else _INDIC.get(c % 0x80, ""))
-        else:
-            plain = unicodedata.normalize("NFKD", ch)
-            out.append(plain[0] if plain[0].isascii() and plain[0].isalnum() else "" if unicodedata.combining(ch) else " ")
-    return "".join(out)
+    """ASCII for a text, character by character.
+
+    Accents fold. Indic scripts are spelled without inherent vowels; Greek,
+    Cyrillic, Hebrew, Arabic, Armenian and Georgian by letter, kana and Hangul
+    by syllable. Han and the remaining scripts are blanks.
+    """
+    return text if text.isascii() else "".join(map(_spelled, unicodedata.normalize("NFKC", text)))
 
 
 @F.pandas_udf(StringType())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -97,21 +99,29 @@ def jaro_winkler(a: str, b: str) -> float:
 SCORERS = {"ratio": ratio, "token_sort": token_sort, "token_set": token_set, "partial": partial, "jaro_winkler": jaro_winkler}
 
 
-def scored(name: str, a: Column, b: Column) -> Column:
-    """A scorer over two columns; null if either is null."""
-    scorer = SCORERS[name]
-
-    @F.pandas_udf("double")
-    def run(x: pd.Series, y: pd.Series) -> pd.Series:
-        known: dict[tuple[str, str], float] = {}
-        out = []
-        for pair in zip(x, y, strict=True):
-            if pair[0] is None or pair[1] is None:
-                out.append(None)
-                continue
-            if pair not in known:
-                known[pair] = scorer(*pair)
-            out.append(known[pair])
-        return pd.Series(out, dtype="float64")
-
-    return run(a, b)
+def all_scored(plan: tuple[tuple[str, str, str], ...], left: list[Column], right: list[Column], columns: tuple[str, ...]) -> Column:
+    """A struct with every score of ``plan`` (name, column, scorer) over ``columns`` of both sides.
+
+    One function for all of them, so a row goes to Python once; each distinct
+    pair of values is scored once in a batch. Null if either side is null.
+    """
+    names = [name for name, _, _ in plan]
+
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            known: dict[tuple[str, str, str], float] = {}
+            out = {}
+            for name, column, scorer in plan:
+                k, score = columns.index(column), SCORERS[scorer]
+                values = []
+                for a, b in zip(batch[k], batch[k + len(columns)], strict=True):
+                    if a is None or b is None:
+                        values.append(None)
+                    elif (key := (scorer, a, b)) in known:
+                        values.append(known[key])
+                    else:
+                        values.append(known.setdefault(key, score(a, b)))
+                out[name] = pd.Series(values, dtype="float64")
+            yield pd.DataFrame(out)
+
+    return F.pandas_udf(run, ", ".join(f"{n} double" for n in names))(*left, *right)

@@ -8,12 +8,12 @@ from operator import add
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mergewell.functions.strings import scored
+from mergewell.functions.strings import all_scored
 
 CONTEXT = ("cos_both", "cos_name", "cos_addr")
 #: Competitors of a target that are told apart.
 TOP = 8
-#: Name, column and scorer of each string feature.
+#: Name, column and scorer of each string feature.
 STRINGS = (
     ("n_ratio", "name_core", "ratio"), ("n_tsort", "name_core", "token_sort"), ("n_tset", "name_core", "token_set"), ("n_partial", "name_core", "partial"),
     ("n_jw", "name_core", "jaro_winkler"), ("n_full_ratio", "name_norm", "ratio"), ("n_alt_tset", "name_alt", "token_set"), ("n_phon_ratio", "name_phon", "ratio"),
@@ -38,27 +38,42 @@ def stage0(pairs: DataFrame) -> DataFrame:
     return pairs.withColumns(new)
 
 
+def _best_of(pairs: DataFrame, score: str, n: int, *also: str) -> DataFrame:
+    """``t_id, _top``: the ``n`` best rows of each target as structs of the score and ``also``, best first.
+
+    Each task keeps ``n`` rows of a target before the shuffle, so a target that very many queries hold is no hot task.
+    """
+    place = F.row_number().over(Window.partitionBy("t_id").orderBy(F.desc(score), "s1_id"))
+    rows = pairs.select("t_id", "s1_id", score, *also).withColumn("_n", place).where(F.col("_n") <= n)
+    return rows.groupBy("t_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", score, "s1_id", *also))), lambda x: x.dropFields("_n")).alias("_top"))
+
+
+def competition(pairs: DataFrame) -> DataFrame:
+    """For each target how many queries hold it, its ``TOP`` best ``cos_both`` and its best other cosines."""
+    sums = pairs.groupBy("t_id").agg(F.count("*").alias("t_n_q"), *(F.max(s).alias(f"_max_{s}") for s in CONTEXT))
+    best = _best_of(pairs, "cos_both", TOP).select("t_id", F.transform("_top", lambda x: x["cos_both"]).alias("_top"))
+    return sums.join(best, "t_id")
+
+
 def context(pairs: DataFrame) -> DataFrame:
     """Competition within the query and for the target.
 
-    The rank for a target is 1 and the number of strictly better queries, at most
-    one more than ``TOP``; the margin is to the second best for the best
-    one, to the best for the others.
+    The rank for a target is 1 and the number of strictly better queries among
+    its ``TOP`` best; the margin is to the second best for the best one, to
+    the best for the others. What a target knows is one aggregated row, joined back.
     """
-    of_q, of_t = Window.partitionBy("s1_id"), Window.partitionBy("t_id")
-    best = F.max("cos_both").over(of_t)
+    of_q = Window.partitionBy("s1_id")
     new = {"q_n_cands": F.count("*").over(of_q)}
     for s in CONTEXT:
         new[f"q_gap_{s}"] = F.col(s) - F.max(s).over(of_q)
         new[f"q_rank_{s}"] = F.row_number().over(of_q.orderBy(F.desc(s), "t_id"))
-        new[f"t_gap_{s}"] = F.col(s) - F.max(s).over(of_t)
-    new["t_n_q"] = F.count("*").over(of_t)
-    new["t_rank_cos_both"] = F.least(F.rank().over(of_t.orderBy(F.desc("cos_both"))), F.lit(TOP + 1))
-    # the two best values of a target from two ranked rows, not from a list of all
-    ranked = Window.partitionBy("t_id").orderBy(F.desc("cos_both"), "s1_id")
-    rows = pairs.withColumns(new).withColumn("_place", F.row_number().over(ranked))
-    second = F.coalesce(F.max(F.when(F.col("_place") == 2, F.col("cos_both"))).over(of_t), F.lit(0.0))
-    return rows.withColumn("t_margin_cos_both", F.when(F.col("cos_both") >= best, F.col("cos_both") - second).otherwise(F.col("cos_both") - best)).drop("_place")
+    rows = pairs.withColumns(new).join(competition(pairs), "t_id")
+    mine, best = F.col("cos_both"), F.col("_max_cos_both")
+    rows = rows.withColumns({f"t_gap_{s}": F.col(s) - F.col(f"_max_{s}") for s in CONTEXT})
+    rows = rows.withColumn("t_rank_cos_both", 1 + F.size(F.filter("_top", lambda x: x > mine)))
+    second = F.coalesce(F.get("_top", F.lit(1)), F.lit(0.0))
+    rows = rows.withColumn("t_margin_cos_both", F.when(mine >= best, mine - second).otherwise(mine - best))
+    return rows.select(*pairs.columns, *(c for c in rows.columns if c not in pairs.columns and not c.startswith("_")))
 
 
 def with_records(pairs: DataFrame, queries: DataFrame, targets: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -85,40 +100,64 @@ def sets_and_flags(pairs: DataFrame, queries: DataFrame, targets: DataFrame) ->
         "ntok_first_eq": (F.get(qn, first) == F.get(tn, first)).cast("int"), "q_n_tokens": F.size(qn), "t_n_tokens": F.size(tn),
         "num_conflict": ((F.size(qd) > 0) & (F.size(td) > 0) & (F.size(F.array_intersect(qd, td)) == 0)).cast("int"),
         "num_t_subset": ((F.size(td) > 0) & (F.size(F.array_intersect(qd, td)) == F.size(td))).cast("int"),
-        "t_is_s3": F.col("t_id").startswith("S3-").cast("int"), "t_is_translit": F.col("t_translit").cast("int"), "t_with_addr": F.col("t_has_addr").cast("int"),
+        "t_is_s3": F.col("t_id").startswith("S3-").cast("int"), "t_translit": F.col("t_translit").cast("int"), "t_has_addr": F.col("t_has_addr").cast("int"),
         "name_core_eq": (F.col("q_name_core") == F.col("t_name_core")).cast("int"), "addr_eq": (F.col("q_addr_norm") == F.col("t_addr_norm")).cast("int"),
-        "q_freq": F.col("q_name_freq"), "t_freq": F.col("t_name_freq"), "len_diff": F.abs(F.char_length("q_name_core") - F.char_length("t_name_core")),
+        "q_name_freq": F.col("q_name_freq"), "t_name_freq": F.col("t_name_freq"), "len_diff": F.abs(F.char_length("q_name_core") - F.char_length("t_name_core")),
     }
     return rows.select("s1_id", "t_id", *(e.alias(k) for k, e in new.items()))
 
 
 def strings(pairs: DataFrame, queries: DataFrame, targets: DataFrame) -> DataFrame:
-    """The twelve string similarities, in [0, 1]."""
+    """The twelve string similarities, in [0, 1], from one pass of a vectorized function over the pairs."""
     bare = F.replace("name_core", F.lit(" "), F.lit(""))
-    columns = ("name_core", "name_norm", "name_alt", "name_phon", "name_nospace", "addr_norm")
+    columns = tuple(dict.fromkeys(c for _, c, _ in STRINGS))
     rows = with_records(pairs.select("s1_id", "t_id"), queries.withColumn("name_nospace", bare), targets.withColumn("name_nospace", bare), columns)
-    return rows.select("s1_id", "t_id", *(scored(f, F.col(f"q_{c}"), F.col(f"t_{c}")).alias(name) for name, c, f in STRINGS))
+    return rows.select("s1_id", "t_id", all_scored(STRINGS, [F.col(f"q_{c}") for c in columns], [F.col(f"t_{c}") for c in columns], columns).alias("x")).select("s1_id", "t_id", "x.*")
 
 
-def stage2(pairs: DataFrame, targets: DataFrame) -> DataFrame:
-    """From ``s1_id, t_id, p1``: how the pair stands among those of its query and of its target, and next to the query's two best."""
-    of_q, of_t = Window.partitionBy("s1_id"), Window.partitionBy("t_id")
-    by_q, by_t = of_q.orderBy(F.desc("p1"), "t_id"), of_t.orderBy(F.desc("p1"), "s1_id")
-    rows = pairs.withColumns({"q_p1_rank": F.row_number().over(by_q), "_t": F.row_number().over(by_t)})
-    nth = lambda col, place, n, w: F.max(F.when(F.col(place) == n, F.col(col))).over(w)
-    rows = rows.withColumns({
-        "q_p1_max": F.max("p1").over(of_q), "q_p1_second": F.coalesce(nth("p1", "q_p1_rank", 2, of_q), F.lit(0.0)), "q_p1_sum": F.sum("p1").over(of_q),
-        "q_p1_n50": F.count_if(F.col("p1") >= 0.5).over(of_q), "q_p1_n20": F.count_if(F.col("p1") >= 0.2).over(of_q),
-        "t_p1_max": F.max("p1").over(of_t), "t_p1_second": F.coalesce(nth("p1", "_t", 2, of_t), F.lit(0.0)), "t_p1_n20": F.count_if(F.col("p1") >= 0.2).over(of_t),
-        "_top1": nth("t_id", "q_p1_rank", 1, of_q), "_top2": nth("t_id", "q_p1_rank", 2, of_q),
-    })
-    mine = F.col("_t") == 1
+def pair_features(pairs: DataFrame, queries: DataFrame, targets: DataFrame) -> DataFrame:
+    """All features of a pair: ``pairs`` with string scores, overlaps and flags."""
+    return pairs.join(strings(pairs, queries, targets), ["s1_id", "t_id"]).join(sets_and_flags(pairs, queries, targets), ["s1_id", "t_id"])
+
+
+def query_context(pairs: DataFrame) -> DataFrame:
+    """``s1_id`` with the best, second and sum of ``p1``, numbers of likely pairs, and the two best targets."""
+    place = F.row_number().over(Window.partitionBy("s1_id").orderBy(F.desc("p1"), "t_id"))
+    rows = pairs.select("s1_id", "t_id", "p1").withColumn("_n", place)
+    at = lambda n, c: F.max(F.when(F.col("_n") == n, F.col(c)))
+    return rows.groupBy("s1_id").agg(
+        F.max("p1").alias("q_p1_max"), F.coalesce(at(2, "p1"), F.lit(0.0)).alias("q_p1_second"), F.sum("p1").alias("q_p1_sum"),
+        F.count_if(F.col("p1") >= 0.5).alias("q_p1_n50"), F.count_if(F.col("p1") >= 0.2).alias("q_p1_n20"), at(1, "t_id").alias("_top1"), at(2, "t_id").alias("_top2"),
+    )
+
+
+def target_context(pairs: DataFrame) -> DataFrame:
+    """``t_id`` with the best and second ``p1``, the best query and the number of likely pairs."""
+    sums = pairs.groupBy("t_id").agg(F.max("p1").alias("t_p1_max"), F.count_if(F.col("p1") >= 0.2).alias("t_p1_n20"))
+    best = _best_of(pairs, "p1", 2).select("t_id", F.coalesce(F.get("_top", F.lit(1))["p1"], F.lit(0.0)).alias("t_p1_second"), F.get("_top", F.lit(0))["s1_id"].alias("_best_q"))
+    return sums.join(best, "t_id")
+
+
+def standing(pairs: DataFrame) -> DataFrame:
+    """From ``s1_id, t_id, p1``: how the pair stands among those of its query and of its target."""
+    rank = F.row_number().over(Window.partitionBy("s1_id").orderBy(F.desc("p1"), "t_id"))
+    rows = pairs.withColumn("q_p1_rank", rank).join(query_context(pairs), "s1_id").join(target_context(pairs), "t_id")
+    mine = F.col("s1_id") == F.col("_best_q")
     rows = rows.withColumns({
         "q_p1_gap": F.col("p1") - F.col("q_p1_max"), "q_p1_share": F.col("p1") / F.greatest("q_p1_sum", F.lit(1e-6)), "t_is_best_q": mine.cast("int"),
         "t_p1_best_other": F.when(mine, F.col("t_p1_second")).otherwise(F.col("t_p1_max")), "is_top1": (F.col("t_id") == F.col("_top1")).cast("int"),
-    }).withColumn("t_p1_margin", F.col("p1") - F.col("t_p1_best_other"))
+    })
+    return rows.withColumn("t_p1_margin", F.col("p1") - F.col("t_p1_best_other")).drop("_best_q")
+
+
+def stage2(pairs: DataFrame, targets: DataFrame) -> DataFrame:
+    """``standing``, and how the target's name and address resemble those of the query's two best; null without such a one."""
+    rows = standing(pairs)
     for k in ("", "1", "2"):
         side = targets.select(F.col("entity_id").alias("_id"), F.col("name_core").alias(f"_name{k}"), F.col("addr_norm").alias(f"_addr{k}"))
         rows = rows.join(side, F.col("_id") == F.col(f"_top{k}" if k else "t_id"), "left").drop("_id")
-    rows = rows.withColumns({f"sib_top{k}_{f}": scored("token_set", F.col(f"_{f}"), F.col(f"_{f}{k}")) for k in "12" for f in ("name", "addr")})
-    return rows.drop(*(c for c in rows.columns if c.startswith("_")))
+    plan = tuple((f"sib_top{k}_{f}", f"{f}{k}", "token_set") for k in "12" for f in ("name", "addr"))
+    columns = tuple(c for _, c, _ in plan)
+    found = all_scored(plan, [F.col(f"_{c[:-1]}") for c in columns], [F.col(f"_{c}") for c in columns], columns)
+    rows = rows.withColumn("_x", found)
+    return rows.select(*(c for c in rows.columns if not c.startswith("_")), "_x.*")

@@ -2,75 +2,67 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mergewell.operators.vectors import Channel, Field, counted, dot_products, vectors, weights
+from mergewell.operators.lineage import written
+from mergewell.operators.vectors import Channel, Field, dot_products, postings, sides
 
 #: Decimals at which scores are compared, so that sums in another order rank alike.
 DECIMALS = 6
 
 
-def channels(top_k: int = 40) -> tuple[Channel, ...]:
+def channels() -> tuple[Channel, ...]:
     """The six standard channels."""
-    name, addr, phon = (lambda w=1.0: Field("name_core", weight=w)), (lambda w=1.0: Field("addr_norm", weight=w)), Field("name_phon", "cross", other="addr_norm")
+    name, addr = (lambda w=1.0: Field("name_core", weight=w)), (lambda w=1.0: Field("addr_norm", weight=w))
     return (
-        Channel("addr", (addr(),), top_k, 0.02),
-        Channel("both", (name(0.5), addr(0.5)), top_k, 0.02),
-        Channel("cross", (Field("name_core", "cross", other="addr_norm"),), top_k, 0.01),
-        Channel("name", (name(),), top_k, 0.01),
-        Channel("noaddr", (name(),), top_k, 0.05, pool="no_addr"),
-        Channel("translit", (phon,), top_k, 0.05, pool="translit"),
+        Channel("addr", (addr(),), 40, 0.02),
+        Channel("both", (name(0.5), addr(0.5)), 40, 0.02),
+        Channel("cross", (Field("name_core", "cross", other="addr_norm"),), 20, 0.01),
+        Channel("name", (name(),), 10, 0.01),
+        Channel("noaddr", (name(),), 10, 0.05, pool="no_addr"),
+        Channel("translit", (Field("name_phon", "cross", other="addr_norm"),), 20, 0.05, pool="translit"),
     )
 
 
-def searchable(targets: DataFrame, pool: str | None) -> DataFrame:
-    if pool is None:
-        return targets
-    return targets.where("not has_addr") if pool == "no_addr" else targets.where(F.col(pool))
-
-
-def index(channel: Channel, queries: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Query and target vectors of a channel; term weights come from its pool of targets."""
-    of_targets = counted(targets, channel.fields)
-    idf = weights(of_targets, searchable(targets, channel.pool).select("entity_id", "ckey"), channel.max_df_frac)
-    return vectors(counted(queries, channel.fields), idf, channel.fields), vectors(of_targets, idf, channel.fields)
+def _of_channel(of: tuple[Channel, ...], value: str) -> Column:
+    return F.element_at(F.array(*(F.lit(getattr(c, value)) for c in of)), F.col("channel") + 1)
 
 
-def top_k(channel: Channel, queries: DataFrame, targets: DataFrame, pool: DataFrame) -> DataFrame:
-    """``s1_id, t_id, score, rank`` from vectors: the K best targets of the pool of the query's country, rank from 0.
+def top_k(rows: DataFrame, of: tuple[Channel, ...]) -> DataFrame:
+    """``channel, s1_id, t_id, score, rank`` from postings: the K best searchable targets of the query's country, rank from 0.
 
-    A postings join by term, cut by document frequency on the target side; ties by t_id.
+    One join by term serves all channels. A term of many targets is joined in
+    ``splits`` parts: its targets are dealt to the parts and its queries go to
+    each, so no task holds a whole hot term. Sums start before the shuffle;
+    ties go by t_id.
     """
-    if channel.pool is not None:
-        targets = targets.join(pool.select("entity_id"), "entity_id", "left_semi")
-    q = queries.select(F.col("entity_id").alias("s1_id"), "ckey", "block", "term", F.col("w").alias("wq"))
-    t = targets.select(F.col("entity_id").alias("t_id"), "ckey", "block", "term", F.col("w").alias("wt"))
-    scored = q.join(t, ["ckey", "block", "term"]).groupBy("s1_id", "t_id").agg(F.round(F.sum(F.col("wq") * F.col("wt")), DECIMALS).alias("score"))
-    best = F.row_number().over(Window.partitionBy("s1_id").orderBy(F.desc("score"), "t_id"))
-    return scored.where(F.col("score") > channel.min_score).withColumn("_n", best).where(F.col("_n") <= channel.top_k).select("s1_id", "t_id", "score", (F.col("_n") - 1).alias("rank"))
+    q, t = sides(rows)
+    q = q.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("splits") - 1))).drop("splits")
+    t = t.where("searchable").withColumn("part", F.pmod(F.xxhash64("t_id"), F.col("splits")).cast("int")).drop("splits", "searchable")
+    scored = q.join(t, ["ckey", "channel", "block", "term", "part"]).groupBy("channel", "s1_id", "t_id").agg(F.round(F.sum(F.col("wq") * F.col("wt")), DECIMALS).alias("score"))
+    best = F.row_number().over(Window.partitionBy("channel", "s1_id").orderBy(F.desc("score"), "t_id"))
+    # the constant bound lets each task keep only so many rows of a query before the shuffle
+    kept = scored.where(F.col("score") > _of_channel(of, "min_score")).withColumn("_n", best).where(F.col("_n") <= max(c.top_k for c in of))
+    return kept.where(F.col("_n") <= _of_channel(of, "top_k")).select("channel", "s1_id", "t_id", "score", (F.col("_n") - 1).alias("rank"))
 
 
 def search(channel: Channel, queries: DataFrame, targets: DataFrame) -> DataFrame:
-    q, t = index(channel, queries, targets)
-    return top_k(channel, q, t, searchable(targets, channel.pool))
+    """``s1_id, t_id, score, rank`` of one channel."""
+    return top_k(postings(queries, targets, (channel,)), (channel,)).drop("channel")
 
 
 def candidates(queries: DataFrame, targets: DataFrame, of: tuple[Channel, ...]) -> DataFrame:
     """One row for each pair that a channel proposes: ``rank_<c>`` (-1: not by c) and the exact ``cos_<c>``.
 
-    Ranks of all channels meet in one aggregation instead of a chain of outer joins.
+    Postings of all channels are written once; one join finds the best targets
+    of every channel, one aggregation unites them, one join takes all
+    cosines. The plan is as large for six channels as for one.
     """
-    vectors_of = {c.name: index(c, queries, targets) for c in of}
-    hits = [top_k(c, *vectors_of[c.name], searchable(targets, c.pool)).select("s1_id", "t_id", F.lit(c.name).alias("channel"), "rank") for c in of]
-    ranks = [F.coalesce(F.max(F.when(F.col("channel") == c.name, F.col("rank"))), F.lit(-1)).alias(f"rank_{c.name}") for c in of]
-    pairs = reduce(DataFrame.unionByName, hits).groupBy("s1_id", "t_id").agg(*ranks)
-    for c in of:
-        cos = dot_products(pairs, *vectors_of[c.name]).select("s1_id", "t_id", F.round("cos", DECIMALS).alias(f"cos_{c.name}"))
-        pairs = pairs.join(cos, ["s1_id", "t_id"])
-    return pairs
+    rows = written(postings(queries, targets, of))
+    ranks = [F.coalesce(F.max(F.when(F.col("channel") == k, F.col("rank"))), F.lit(-1)).alias(f"rank_{c.name}") for k, c in enumerate(of)]
+    pairs = written(top_k(rows, of).groupBy("s1_id", "t_id").agg(*ranks))
+    return dot_products(pairs, rows, of, DECIMALS)
 
 
 def labeled(pairs: DataFrame, truth: DataFrame) -> DataFrame:

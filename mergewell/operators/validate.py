@@ -4,42 +4,77 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SOURCE_1, KNOWN = "^S1-", "^S[123]-"
+
+
+def _listed(df: DataFrame) -> DataFrame:
+    """``s1_id, ids``: an id and its comma list, without blanks and empty entries."""
+    key, ids = df.columns[:2]
+    # F.trim itself would be handed the position too and trim its digits
+    entries = F.transform(F.split(F.coalesce(ids, F.lit("")), ","), lambda t: F.trim(t))
+    return df.select(F.col(key).alias("s1_id"), F.filter(entries, lambda t: t != "").alias("ids"))
+
+
+def _rules(file: str, df: DataFrame, required: DataFrame, known: DataFrame | None) -> list[DataFrame]:
+    rows = _listed(df)
+    lists = {
+        "repeated id in a list": F.size(F.array_distinct("ids")) < F.size("ids"),
+        "match with source 1": F.exists("ids", lambda t: t.rlike(SOURCE_1)),
+        "wrong prefix": F.exists("ids", lambda t: ~t.rlike(KNOWN)),
+    }
+    in_lists = rows.agg(*(F.count_if(rule).alias(name) for name, rule in lists.items()))
+    per_id = rows.groupBy("s1_id").agg(F.count("*").alias("n"))
+    ids = required.select("s1_id").distinct()
+    both = per_id.withColumn("_seen", F.lit(True)).join(ids.withColumn("_required", F.lit(True)), "s1_id", "full")
+    of_ids = both.agg(
+        F.count_if(F.col("n") > 1).alias("repeated source 1 id"), F.count_if(F.isnull("_seen")).alias("missing source 1 id"), F.count_if(F.isnull("_required")).alias("unexpected source 1 id"),
+    )
+    found = [in_lists, of_ids]
+    if known is not None:
+        named = rows.select(F.explode("ids").alias("t_id")).distinct()
+        found.append(named.join(known.select("t_id"), "t_id", "left_anti").agg(F.count("*").alias("unknown id")))
+    return [f.unpivot([], f.columns, "rule", "n").select(F.lit(file).alias("file"), "rule", F.lit("error").alias("severity"), "n") for f in found]
+
 
 def problems(matches: DataFrame, candidates: DataFrame, required: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """``file, rule, severity, n``: how often each rule is broken.
 
     ``matches`` and ``candidates`` have an id and a comma list; ``required`` has
-    ``s1_id``. Matches outside the candidates are a warning, all else is an error.
+    ``s1_id``, ``known`` all ``t_id`` there are. Matches outside the candidates
+    are a warning, all else is an error. A rule that holds has a row with 0,
+    also for empty tables; null lists are empty ones.
     """
-    rows = []
-    for name, df in (("matches", matches), ("candidates", candidates)):
-        key, ids = df.columns[:2]
-        rows_ = df.select(F.col(key).alias("s1_id"), F.filter(F.transform(F.split(F.coalesce(ids, F.lit("")), ","), F.trim), lambda t: t != "").alias("ids"))
-        per_id = rows_.groupBy("s1_id").agg(F.count("*").alias("n"))
-        in_list = rows_.agg(
-            F.coalesce(F.sum((F.size(F.array_distinct("ids")) < F.size("ids")).cast("long")), F.lit(0)).alias("repeated id in a list"),
-            F.coalesce(F.sum(F.exists("ids", lambda t: t.startswith("S1-")).cast("long")), F.lit(0)).alias("match with source 1"),
-            F.coalesce(F.sum(F.exists("ids", lambda t: ~t.rlike("^S[123]-")).cast("long")), F.lit(0)).alias("wrong prefix"),
-        )
-        counts = {
-            "repeated source 1 id": per_id.where("n > 1").agg(F.count("*").alias("n")),
-            "missing source 1 id": required.select("s1_id").distinct().join(per_id, "s1_id", "left_anti").agg(F.count("*").alias("n")),
-            "unexpected source 1 id": per_id.join(required, "s1_id", "left_anti").agg(F.count("*").alias("n")),
-        }
-        if known is not None:
-            pairs = rows_.select(F.explode("ids").alias("t_id")).distinct()
-            counts["unknown id"] = pairs.join(known.select("t_id"), "t_id", "left_anti").agg(F.count("*").alias("n"))
-        rows += [c.select(F.lit(name).alias("file"), F.lit(rule).alias("rule"), F.lit("error").alias("severity"), "n") for rule, c in counts.items()]
-        stack = ", ".join(f"'{c}', `{c}`" for c in in_list.columns)
-        rows.append(in_list.select(F.expr(f"stack({len(in_list.columns)}, {stack}) AS (rule, n)")).select(F.lit(name).alias("file"), "rule", F.lit("error").alias("severity"), "n"))
-    exploded = [df.select(F.col(df.columns[0]).alias("s1_id"), F.explode(F.split(F.coalesce(df.columns[1], F.lit("")), ",")).alias("t_id")).withColumn("t_id", F.trim("t_id")).where("t_id <> ''").distinct() for df in (matches, candidates)]
-    outside = exploded[0].join(exploded[1], ["s1_id", "t_id"], "left_anti").agg(F.count("*").alias("n"))
+    rows = _rules("matches", matches, required, known) + _rules("candidates", candidates, required, known)
+    pairs = [_listed(df).select("s1_id", F.explode("ids").alias("t_id")).distinct() for df in (matches, candidates)]
+    outside = pairs[0].join(pairs[1], ["s1_id", "t_id"], "left_anti").agg(F.count("*").alias("n"))
     rows.append(outside.select(F.lit("matches").alias("file"), F.lit("match is no candidate").alias("rule"), F.lit("warning").alias("severity"), "n"))
     return reduce(DataFrame.unionByName, rows)
 
 
+def file_problems(spark: SparkSession, path: str, header: tuple[str, str]) -> DataFrame:
+    """``rule, n`` for the lines of a file: another header, commas where a tab should be, lines without exactly one tab."""
+    lines = spark.read.text(path, lineSep="\n").select(F.regexp_replace("value", r"\r$", "").alias("line"))
+    title = F.lower("line") == "\t".join(header).lower()
+    tabs = F.regexp_count("line", F.lit("\t"))
+    found = lines.agg(
+        F.when(F.count_if(title) == 0, 1).otherwise(0).cast("long").alias("no such header"),
+        F.count_if(F.lower("line").startswith(f"{header[0].lower()},")).alias("commas for tabs"),
+        F.count_if(~title & (tabs != 1) & (F.col("line") != "")).alias("line without one tab"),
+    )
+    return found.unpivot([], found.columns, "rule", "n")
+
+
 def valid(found: DataFrame) -> bool:
     return found.where("severity = 'error' and n > 0").isEmpty()
+
+
+def require_valid(found: DataFrame) -> list[str]:
+    """Raises if a rule is broken; returns what is a warning."""
+    rows = found.where("n > 0").collect()  # a row for each rule
+    told = {s: [f"{r.file}: {r.rule} ({r.n})" for r in rows if r.severity == s] for s in ("error", "warning")}
+    if told["error"]:
+        raise ValueError("; ".join(told["error"]))
+    return told["warning"]

@@ -1,4 +1,4 @@
-"""TF-IDF vectors as postings: one row for each record and term."""
+"""TF-IDF vectors of all channels as one table of postings: a row for each record, channel and term."""
 
 from __future__ import annotations
 
@@ -7,6 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: A term with more searchable targets than this is split over as many join keys as needed.
+SPLIT = 20_000
+
 
 @dataclass(frozen=True)
 class Field:
@@ -18,10 +21,18 @@ class Field:
     other: str | None = None
     n: int = 3
 
+    @property
+    def source(self) -> tuple:
+        """What decides the terms; fields that differ only in weight share them."""
+        return self.column, self.kind, self.other, self.n if self.kind == "char" else 0
+
 
 @dataclass(frozen=True)
 class Channel:
-    """One way to retrieve: its blocks, how many targets for a query, and which targets count."""
+    """One way to retrieve: its blocks, how many targets for a query, and which targets count.
+
+    ``pool`` is ``no_addr`` (targets without an address), any boolean column, or None for all.
+    """
 
     name: str
     fields: tuple[Field, ...]
@@ -31,6 +42,12 @@ class Channel:
     pool: str | None = None
 
 
+def in_pool(pool: str | None) -> Column:
+    if pool is None:
+        return F.lit(True)
+    return ~F.col("has_addr") if pool == "no_addr" else F.col(pool)
+
+
 def words(text: Column) -> Column:
     return F.filter(F.split(text, " "), lambda t: t != "")
 
@@ -52,48 +69,96 @@ def conjunctions(left: Column, right: Column) -> Column:
     return F.flatten(F.transform(names, lambda a: F.transform(words(right), lambda b: F.concat(a, F.lit("|"), b))))
 
 
-def terms(field: Field) -> Column:
-    if field.kind == "word":
-        return words(F.col(field.column))
-    if field.kind == "char":
-        return grams(F.col(field.column), field.n)
-    return conjunctions(F.col(field.column), F.col(field.other))
+def terms(source: tuple) -> Column:
+    column, kind, other, n = source
+    if kind == "word":
+        return words(F.col(column))
+    if kind == "char":
+        return grams(F.col(column), n)
+    return conjunctions(F.col(column), F.col(other))
+
+
+def _sources(channels: tuple[Channel, ...]) -> list[tuple]:
+    return list(dict.fromkeys(f.source for c in channels for f in c.fields))
+
 
+def _pools(channels: tuple[Channel, ...]) -> list[str | None]:
+    return list(dict.fromkeys(c.pool for c in channels))
 
-def counted(records: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
-    """``entity_id, ckey, block, term, tf``: all blocks in one pass, counted with one shuffle."""
 
-    def tagged(k: int, field: Field) -> Column:
-        return F.transform(terms(field), lambda t: F.struct(F.lit(k).alias("block"), t.alias("term")))
+def counted(records: DataFrame, channels: tuple[Channel, ...]) -> DataFrame:
+    """``entity_id, ckey, is_target, pools, source, term, tf``: the terms of all channels in one pass and one shuffle.
+
+    Channels that read the same columns in the same way share their terms.
+    ``pools`` are the numbers of the pools that a record is in.
+    """
+
+    def tagged(k: int, source: tuple) -> Column:
+        return F.transform(terms(source), lambda t: F.struct(F.lit(k).alias("source"), t.alias("term")))
+
+    pools = F.filter(F.array(*(F.when(in_pool(p), F.lit(k)) for k, p in enumerate(_pools(channels)))), lambda x: x.isNotNull())
+    every = F.array(*(tagged(k, s) for k, s in enumerate(_sources(channels))))
+    rows = records.select("entity_id", "ckey", "is_target", pools.alias("pools"), F.explode(F.flatten(every)).alias("x"))
+    return rows.groupBy("entity_id", "ckey", "is_target", "pools", "x.source", "x.term").agg(F.count("*").alias("tf")).select("entity_id", "ckey", "is_target", "pools", "source", "term", "tf")
+
+
+def weights(counts: DataFrame, records: DataFrame, channels: tuple[Channel, ...]) -> DataFrame:
+    """``ckey, source, term, uses``: for each channel and block that keeps the term its idf and number of splits.
+
+    Numbers come from the targets in the channel's pool; the cut is max(50,
+    max_df_frac of the pool), and idf = ln((1 + n) / (1 + df)) + 1. Terms of no
+    searchable target are in no channel. One aggregation serves all channels.
+    """
+    pools, sources = _pools(channels), _sources(channels)
+    sizes = records.where("is_target").groupBy("ckey").agg(F.array(*(F.count_if(in_pool(p)) for p in pools)).alias("n"))
+    df = counts.where("is_target").groupBy("ckey", "source", "term").agg(F.array(*(F.count_if(F.array_contains("pools", k)) for k in range(len(pools)))).alias("df"))
+
+    def use(c: int, block: int, field: Field, channel: Channel) -> Column:
+        n, d = (F.col(x)[pools.index(channel.pool)] for x in ("n", "df"))
+        kept = (F.col("source") == sources.index(field.source)) & (d > 0) & (d <= F.greatest(F.lit(50), F.floor(F.lit(channel.max_df_frac) * n)))
+        idf = F.ln((1.0 + n) / (1.0 + d)) + 1
+        return F.when(kept, F.struct(F.lit(c).alias("channel"), F.lit(block).alias("block"), F.lit(float(field.weight)).alias("share"), idf.alias("idf"), F.ceil(d / F.lit(float(SPLIT))).cast("int").alias("splits")))
 
-    blocks = F.array(*(tagged(k, f) for k, f in enumerate(fields)))
-    rows = records.select("entity_id", "ckey", F.explode(F.flatten(blocks)).alias("x"))
-    return rows.groupBy("entity_id", "ckey", "x.block", "x.term").agg(F.count("*").alias("tf")).select("entity_id", "ckey", "block", "term", "tf")
+    uses = F.filter(F.array(*(use(c, b, f, channel) for c, channel in enumerate(channels) for b, f in enumerate(channel.fields))), lambda x: x.isNotNull())
+    return df.join(sizes, "ckey").select("ckey", "source", "term", uses.alias("uses")).where(F.size("uses") > 0)
 
 
-def weights(target_terms: DataFrame, pool: DataFrame, max_df_frac: float) -> DataFrame:
-    """``ckey, block, term, idf`` over the searchable targets; terms of too many of them are cut.
+def postings(queries: DataFrame, targets: DataFrame, channels: tuple[Channel, ...]) -> DataFrame:
+    """``entity_id, ckey, is_target, searchable, channel, block, term, splits, w`` of all records and channels.
 
-    The cut is max(50, max_df_frac of the pool); idf = ln((1 + n) / (1 + df)) + 1.
+    w = (1 + ln tf) idf, each block of length sqrt(its weight), the whole of
+    length 1. ``channel`` is the number of the channel; the plan is one chain,
+    however many there are. Both norms are taken in the records' partitions.
     """
-    n = pool.groupBy("ckey").agg(F.count("*").alias("n"))
-    df = target_terms.join(pool.select("entity_id"), "entity_id", "left_semi").groupBy("ckey", "block", "term").agg(F.count("*").alias("df"))
-    cut = F.greatest(F.lit(50), F.floor(F.lit(max_df_frac) * F.col("n")))
-    return df.join(n, "ckey").where(F.col("df") <= cut).select("ckey", "block", "term", (F.ln((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1).alias("idf"))
-
-
-def vectors(counts: DataFrame, idf: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
-    """``entity_id, ckey, block, term, w``: (1 + ln tf) idf, each block of length sqrt(its weight), the whole of length 1."""
-    share = F.element_at(F.array(*(F.lit(float(f.weight)) for f in fields)), F.col("block") + 1)
-    raw = counts.join(idf, ["ckey", "block", "term"]).withColumn("x", (1 + F.ln("tf")) * F.col("idf"))
-    of_block, of_all = Window.partitionBy("entity_id", "block"), Window.partitionBy("entity_id")
-    raw = raw.withColumn("x", F.col("x") * F.sqrt(share) / F.sqrt(F.sum(F.col("x") * F.col("x")).over(of_block)))
-    return raw.select("entity_id", "ckey", "block", "term", (F.col("x") / F.sqrt(F.sum(F.col("x") * F.col("x")).over(of_all))).alias("w"))
-
-
-def dot_products(pairs: DataFrame, queries: DataFrame, targets: DataFrame) -> DataFrame:
-    """``s1_id, t_id, cos`` for exactly these pairs; 0 where no term is shared."""
-    q = queries.select(F.col("entity_id").alias("s1_id"), "block", "term", F.col("w").alias("wq"))
-    t = targets.select(F.col("entity_id").alias("t_id"), "block", "term", F.col("w").alias("wt"))
-    shared = pairs.select("s1_id", "t_id").join(q, "s1_id").join(t, ["t_id", "block", "term"]).groupBy("s1_id", "t_id").agg(F.sum(F.col("wq") * F.col("wt")).alias("cos"))
-    return pairs.select("s1_id", "t_id").join(shared, ["s1_id", "t_id"], "left").withColumn("cos", F.coalesce("cos", F.lit(0.0)))
+    columns = ["entity_id", "ckey", *sorted({x for c in channels for f in c.fields for x in (f.column, f.other) if x} | {"has_addr" if c.pool == "no_addr" else c.pool for c in channels if c.pool})]
+    records = queries.select(*columns, F.lit(False).alias("is_target")).unionByName(targets.select(*columns, F.lit(True).alias("is_target")))
+    counts = counted(records, channels)
+    rows = counts.join(weights(counts, records, channels), ["ckey", "source", "term"])
+    rows = rows.select("entity_id", "ckey", "is_target", "pools", "term", (1 + F.ln("tf")).alias("_tf"), F.explode("uses").alias("u"))
+    rows = rows.select("entity_id", "ckey", "is_target", "pools", "u.channel", "u.block", "term", "u.splits", "u.share", (F.col("_tf") * F.col("u.idf")).alias("x"))
+    pools = _pools(channels)
+    pool_of = F.element_at(F.array(*(F.lit(pools.index(c.pool)) for c in channels)), F.col("channel") + 1)
+    of_block, of_all = Window.partitionBy("entity_id", "is_target", "channel", "block"), Window.partitionBy("entity_id", "is_target", "channel")
+    rows = rows.repartition("entity_id").withColumn("x", F.col("x") * F.sqrt("share") / F.sqrt(F.sum(F.col("x") * F.col("x")).over(of_block)))
+    return rows.select(
+        "entity_id", "ckey", "is_target", F.array_contains("pools", pool_of).alias("searchable"), "channel", "block", "term", "splits",
+        (F.col("x") / F.sqrt(F.sum(F.col("x") * F.col("x")).over(of_all))).alias("w"),
+    )
+
+
+def sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Postings of queries (``s1_id, wq``) and of targets (``t_id, wt``)."""
+    q = rows.where("not is_target").select(F.col("entity_id").alias("s1_id"), "ckey", "channel", "block", "term", "splits", F.col("w").alias("wq"))
+    t = rows.where("is_target").select(F.col("entity_id").alias("t_id"), "ckey", "channel", "block", "term", "splits", "searchable", F.col("w").alias("wt"))
+    return q, t
+
+
+def dot_products(pairs: DataFrame, rows: DataFrame, channels: tuple[Channel, ...], decimals: int) -> DataFrame:
+    """``s1_id, t_id`` and ``cos_<c>`` of every channel for exactly these pairs, by one join; 0 where no term is shared."""
+    q, t = sides(rows)
+    keys = ["t_id", "channel", "block", "term"]
+    shared = pairs.select("s1_id", "t_id").join(q.select("s1_id", "channel", "block", "term", "wq"), "s1_id").join(t.select(*keys, "wt"), keys)
+    sums = [F.sum(F.when(F.col("channel") == k, F.col("wq") * F.col("wt"))).alias(f"cos_{c.name}") for k, c in enumerate(channels)]
+    dots = shared.groupBy("s1_id", "t_id").agg(*sums)
+    out = pairs.join(dots, ["s1_id", "t_id"], "left")
+    return out.withColumns({f"cos_{c.name}": F.coalesce(F.round(f"cos_{c.name}", decimals), F.lit(0.0)) for c in channels})

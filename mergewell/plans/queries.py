@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mergewell.functions.hashing import fold, id_hash, sampled
+from mergewell.functions.normalize import name_frequency
 from mergewell.operators import decision, features, learning, retrieval, validate, vectors
+from mergewell.operators.lineage import written
 from mergewell.plans import records as R
 from mergewell.sources import tables
 
@@ -17,17 +20,34 @@ CHANNELS = {c.name: c for c in retrieval.channels()}
 
 
 class Case:
-    """What queries share: records, their halves, truth, candidates and scores."""
+    """What queries share: records, their halves, truth, candidates and scores; each is written once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.records = R.records(spark, sf_dir)
-        self.queries, self.targets = R.split(self.records)
-        self.truth = R.truth(self.records)
-        self.ids = self.queries.select(F.col("entity_id").alias("s1_id"), "ckey")
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def records(self) -> DataFrame:
+        return R.records(self.spark, self.sf_dir)
+
+    @property
+    def queries(self) -> DataFrame:
+        return R.split(self.records)[0]
 
     @property
+    def targets(self) -> DataFrame:
+        return R.split(self.records)[1]
+
+    @property
+    def ids(self) -> DataFrame:
+        return self.queries.select(F.col("entity_id").alias("s1_id"), "ckey")
+
+    @cached_property
+    def truth(self) -> DataFrame:
+        return R.truth(self.spark, self.sf_dir)
+
+    @cached_property
     def pairs(self) -> DataFrame:
-        return retrieval.candidates(self.queries, self.targets, tuple(CHANNELS.values()))
+        return written(retrieval.candidates(self.queries, self.targets, tuple(CHANNELS.values())))
 
     @property
     def labeled(self) -> DataFrame:
@@ -37,6 +57,10 @@ class Case:
     def scores(self) -> DataFrame:
         return self.labeled.select("s1_id", "t_id", "label", F.round(0.6 * F.col("cos_both") + 0.4 * F.col("cos_addr"), 6).alias("p"))
 
+    @cached_property
+    def scored(self) -> DataFrame:
+        return written(self.scores.select("s1_id", "t_id", F.col("p").alias("p1")))
+
     @property
     def matched(self) -> DataFrame:
         return decision.above(decision.exclusive(self.scores.drop("label")), 0.6)
@@ -56,19 +80,19 @@ def _grams(c: Case) -> DataFrame:
 
 
 def _idf(c: Case) -> DataFrame:
-    ch = CHANNELS["addr"]
-    idf = vectors.weights(vectors.counted(c.targets, ch.fields), c.targets.select("entity_id", "ckey"), ch.max_df_frac)
-    return idf.select("ckey", "term", F.round("idf", 9).alias("idf"))
+    of = (CHANNELS["addr"],)
+    records = c.records.withColumn("is_target", ~F.col("entity_id").startswith("S1-"))
+    idf = vectors.weights(vectors.counted(records, of), records, of)
+    return idf.select("ckey", "term", F.round(F.col("uses")[0]["idf"], 9).alias("idf"))
 
 
 def _postings(c: Case) -> DataFrame:
-    q, t = retrieval.index(CHANNELS["both"], c.queries, c.targets)
-    return q.unionByName(t).select("entity_id", "block", "term", F.round("w", 6).alias("w"))
+    return vectors.postings(c.queries, c.targets, (CHANNELS["both"],)).select("entity_id", "block", "term", F.round("w", 6).alias("w"))
 
 
 def _cosines(c: Case) -> DataFrame:
-    pairs = c.truth.distinct()
-    return vectors.dot_products(pairs, *retrieval.index(CHANNELS["name"], c.queries, c.targets)).select("s1_id", "t_id", F.round("cos", 6).alias("cos"))
+    of = (CHANNELS["name"],)
+    return vectors.dot_products(c.truth.distinct(), vectors.postings(c.queries, c.targets, of), of, retrieval.DECIMALS).withColumnRenamed("cos_name", "cos")
 
 
 def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,14 +120,14 @@ def _grid(c: Case) -> DataFrame:
     return _rounded(decision.threshold_grid(c.ids, c.scores.drop("label"), c.truth, [0.2, 0.4, 0.6, 0.8]))
 
 
-def _stage2(c: Case) -> DataFrame:
-    rows = features.stage2(c.scores.select("s1_id", "t_id", F.col("p").alias("p1")), c.targets)
-    return rows.drop("q_p1_sum", "q_p1_share", *(x for x in rows.columns if x.startswith("sib_")))
+def _siblings(c: Case) -> DataFrame:
+    rows = features.stage2(c.scored, c.targets)
+    return rows.select("s1_id", "t_id", *(F.round(x, 6).alias(x) for x in rows.columns if x.startswith("sib_")))
 
 
-def _siblings(c: Case) -> DataFrame:
-    rows = features.stage2(c.scores.select("s1_id", "t_id", F.col("p").alias("p1")), c.targets)
-    return rows.select("s1_id", "t_id", "q_p1_share", *(F.round(x, 6).alias(x) for x in rows.columns if x.startswith("sib_")))
+def _strings(c: Case) -> DataFrame:
+    rows = features.strings(c.pairs, c.queries, c.targets)
+    return rows.select("s1_id", "t_id", *(F.round(x, 9).alias(x) for x in rows.columns[2:]))
 
 
 def _trained(c: Case) -> DataFrame:
@@ -113,15 +137,24 @@ def _trained(c: Case) -> DataFrame:
     return out.select("s1_id", "t_id", "label", "p1")
 
 
+def faulty(lists: DataFrame) -> DataFrame:
+    """Id lists in which each rule is broken for some ids, by the number of the id."""
+    key, ids = lists.columns
+    k = F.expr(f"(cast(regexp_extract({key}, '(\\\\d+)$', 1) as bigint) div 3) % 8")
+    extra = F.when(F.col("_k") == 3, ",S2-999999999").when(F.col("_k") == 4, ",S2-1,S2-1").when(F.col("_k") == 5, ",S1-0").when(F.col("_k") == 6, ", X-1").otherwise("")
+    rows = lists.withColumn("_k", k).where("_k <> 1").withColumn("_copy", F.explode(F.when(F.col("_k") == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    return rows.select(F.when(F.col("_k") == 2, F.concat(key, F.lit("00"))).otherwise(F.col(key)).alias(key), F.concat(ids, extra).alias(ids))
+
+
 def _validated(c: Case) -> DataFrame:
     matches, lists = tables.id_lists(c.ids, c.matched), tables.id_lists(c.ids, c.pairs, tables.CANDIDATES)
-    return validate.problems(matches, lists, c.ids, c.targets.select(F.col("entity_id").alias("t_id")))
+    return validate.problems(faulty(matches), faulty(lists), c.ids, c.targets.select(F.col("entity_id").alias("t_id")))
 
 
 def queries() -> dict[str, Query]:
     out = {
         "normalize_records": lambda c: c.records.withColumn("addr_nums", F.array_join("addr_nums", ",")),
-        "name_frequency": lambda c: c.records.groupBy("ckey", "name_core").agg(F.count("*").alias("name_freq")),
+        "name_frequency": lambda c: name_frequency(c.records),
         "script_profile": _scripts,
         "id_hash_folds": lambda c: c.records.select("entity_id", id_hash(F.col("entity_id")).alias("h0"), id_hash(F.col("entity_id"), 1).alias("h1"), fold(F.col("entity_id"), 5).alias("fold")),
         "bernoulli_sample": lambda c: c.records.where(sampled(F.col("entity_id"), 0.3, 3)).select("entity_id"),
@@ -140,9 +173,9 @@ def queries() -> dict[str, Query]:
         "stage0_features": lambda c: features.stage0(c.pairs),
         "context_features": lambda c: features.context(c.pairs),
         "set_features": lambda c: features.sets_and_flags(c.pairs, c.queries, c.targets),
-        "jaro_winkler_features": lambda c: features.strings(c.pairs, c.queries, c.targets).select("s1_id", "t_id", F.round("n_jw", 9).alias("n_jw")),
-        "string_features": lambda c: features.strings(c.pairs, c.queries, c.targets),
-        "stage2_context": _stage2,
+                "string_features": lambda c: _strings(c).drop("n_partial"),
+        "partial_ratio": lambda c: _strings(c).select("s1_id", "t_id", "n_partial"),
+        "stage2_context": lambda c: features.standing(c.scored).drop("q_p1_sum", "q_p1_share", "_top1", "_top2"),
         "stage2_siblings": _siblings,
         "prune_top": lambda c: learning.prune(c.scores.select("s1_id", "t_id", F.col("p").alias("score0")), 10),
         "label_join": lambda c: c.labeled.select("s1_id", "t_id", "label"),
