@@ -21,6 +21,12 @@ STRINGS = (
 )
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows in as many parts as a shuffle has: scoring takes long for its bytes, and parts of equal bytes would be too few."""
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
 def channel_names(pairs: DataFrame) -> list[str]:
     return [c.removeprefix("cos_") for c in pairs.columns if c.startswith("cos_")]
 
@@ -112,7 +118,7 @@ def strings(pairs: DataFrame, queries: DataFrame, targets: DataFrame) -> DataFra
     bare = F.replace("name_core", F.lit(" "), F.lit(""))
     columns = tuple(dict.fromkeys(c for _, c, _ in STRINGS))
     rows = with_records(pairs.select("s1_id", "t_id"), queries.withColumn("name_nospace", bare), targets.withColumn("name_nospace", bare), columns)
-    return rows.select("s1_id", "t_id", all_scored(STRINGS, [F.col(f"q_{c}") for c in columns], [F.col(f"t_{c}") for c in columns], columns).alias("x")).select("s1_id", "t_id", "x.*")
+    return dealt(rows).select("s1_id", "t_id", all_scored(STRINGS, [F.col(f"q_{c}") for c in columns], [F.col(f"t_{c}") for c in columns], columns).alias("x")).select("s1_id", "t_id", "x.*")
 
 
 def pair_features(pairs: DataFrame, queries: DataFrame, targets: DataFrame) -> DataFrame:
@@ -159,5 +165,5 @@ def stage2(pairs: DataFrame, targets: DataFrame) -> DataFrame:
     plan = tuple((f"sib_top{k}_{f}", f"{f}{k}", "token_set") for k in "12" for f in ("name", "addr"))
     columns = tuple(c for _, c, _ in plan)
     found = all_scored(plan, [F.col(f"_{c[:-1]}") for c in columns], [F.col(f"_{c}") for c in columns], columns)
-    rows = rows.withColumn("_x", found)
+    rows = dealt(rows).withColumn("_x", found)
     return rows.select(*(c for c in rows.columns if not c.startswith("_")), "_x.*")
