@@ -21,8 +21,11 @@ from mergewell.llm.queries import tokenizer_file
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or have too little content go."""
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    return quality.judge(docs, model, keep=others).where("kept").select(*docs.columns)
+    # numbered, since a table may have columns with the names of the verdicts
+    numbered = {c: f"_{k}" for k, c in enumerate(docs.columns)}
+    rows = docs.select("doc_id", "text", *(F.col(c).alias(n) for c, n in numbered.items()))
+    good = quality.judge(rows, model, keep=tuple(numbered.values())).where("kept")
+    return good.select(*(F.col(n).alias(c) for c, n in numbered.items()))
 
 
 def _row_key(docs: DataFrame) -> Column:

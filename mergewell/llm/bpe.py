@@ -24,8 +24,8 @@ YOUNGER = (
 #: The lower case of capitals of Unicode 16 and 17, which Python may not know yet.
 LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
 LOWER |= {c: c + 32 for c in range(0x10D50, 0x10D66)} | {c: c + 27 for c in range(0x16EA0, 0x16EB9)}
-#: Words that a worker remembers before it starts again, and characters of the longest one.
-CACHE_WORDS, CACHE_CHARS = 400_000, 64
+#: Words, and chunks of them, that a worker remembers before it starts again, and characters of the longest one.
+CACHE_WORDS, CACHE_CHARS = 300_000, 64
 #: Documents and characters of one output batch.
 BATCH_ROWS, BATCH_CHARS = 512, 4_000_000
 
@@ -225,7 +225,7 @@ class Bpe:
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text. Words and chunks that are new are encoded once."""
         split = [self.split(t) for t in texts]
-        if len(self.cache) > CACHE_WORDS:
+        if max(len(self.cache), len(self.chunks)) > CACHE_WORDS:
             self.cache.clear()
             self.chunks.clear()
         known = self.chunks

@@ -152,31 +152,74 @@ def _send(buckets: int):
     return run
 
 
+def _candidates(text: np.ndarray, at: np.ndarray, size: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What of the pieces may repeat: place, number of windows, group and first window of each stretch.
+
+    A stretch is neighbouring windows of one piece whose 50-byte hash some other
+    window of the group has too. Equal windows have equal hashes, so nothing
+    that repeats is lost, and the suffix array decides what does.
+    """
+    windows = size - LENGTH + 1
+    slot = np.cumsum(windows) - windows
+    several = np.flatnonzero(np.bincount(group)[group] > 1)
+    where, owner = ragged(at[several], windows[several]), np.repeat(several, windows[several])
+    padded = np.append(text, np.zeros(8, np.uint8))
+    words = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+    h = mixed(group[owner].astype(np.uint64) * _ODD)
+    for step in (0, 8, 16, 24, 32, 40, LENGTH - 8):
+        h = mixed(h ^ words[where + step])
+    _, back, count = np.unique(h, return_inverse=True, return_counts=True)
+    twice = count[back] > 1
+    new = twice.copy()
+    new[1:] &= ~twice[:-1] | (owner[1:] != owner[:-1])
+    first = np.flatnonzero(new)
+    number = np.add.reduceat(twice, first, dtype=np.int64) if len(first) else np.zeros(0, np.int64)
+    return where[first], number, group[owner[first]], ragged(slot[several], windows[several])[first]
+
+
 def _earliest(text: np.ndarray, at: np.ndarray, size: np.ndarray, ids: np.ndarray, group: np.ndarray) -> np.ndarray:
     """For each window of distinct pieces the smallest id of a piece of its group that holds it.
 
     ``at`` and ``size`` place the pieces, which come group by group, in
-    ``text``. The pieces of a group are one text, with a separator behind each
-    piece; in its suffix array equal windows are neighbours.
+    ``text``. The distinct stretches of a group that may repeat are one text, with
+    a separator behind each; in its suffix array equal windows are neighbours.
     """
-    windows = size - LENGTH + 1
-    least = np.repeat(ids, windows)
-    several = np.flatnonzero(np.bincount(group)[group] > 1)
-    if not len(several):
-        return least
-    slot = np.concatenate([[0], np.cumsum(windows)])
-    length = size[several] + 1
-    place = np.concatenate([[0], np.cumsum(length)])
+    least = np.repeat(ids, size - LENGTH + 1)
+    at, windows, group, slot = _candidates(text, at, size, group)
+    # equal stretches are one; their windows have one key, so they are in one group
+    data, stretch = text.tobytes(), {}
+    which = np.fromiter((stretch.setdefault(data[a:b], len(stretch)) for a, b in zip(at.tolist(), (at + windows + LENGTH - 1).tolist(), strict=True)), np.int64, len(at))
+    first = np.zeros(len(stretch), np.int64)
+    first[which[::-1]] = np.arange(len(which))[::-1]
+    low = np.full(len(stretch), _NEVER)
+    np.minimum.at(low, which, least[slot])
+    found = np.repeat(low, windows[first])
+    begin = np.cumsum(windows[first]) - windows[first]
+    several = np.flatnonzero(np.bincount(group[first])[group[first]] > 1) if len(first) else first
+    if len(several):
+        own = first[several]
+        _sorted_minimum(text, at[own], windows[own], group[own], begin[several], found)
+    least[ragged(slot, windows)] = found[ragged(begin[which], windows)]
+    return least
+
+
+def _sorted_minimum(text: np.ndarray, at: np.ndarray, windows: np.ndarray, group: np.ndarray, slot: np.ndarray, least: np.ndarray) -> None:
+    """Lowers ``least`` of each window to the smallest of the equal windows of its group, which a suffix array finds.
+
+    ``slot`` is the place of a stretch's first window in ``least``.
+    """
+    size = windows + LENGTH - 1
+    place = np.concatenate([[0], np.cumsum(size + 1)])
     joined = np.zeros(place[-1], np.int16)
-    joined[ragged(place[:-1], size[several])] = text[ragged(at[several], size[several])].astype(np.int16) + 1
-    borders = np.flatnonzero(np.concatenate([[True], group[several][1:] != group[several][:-1]]))
+    joined[ragged(place[:-1], size)] = text[ragged(at, size)].astype(np.int16) + 1
+    borders = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
     start = np.append(place[borders], place[-1])
     order = sorted_suffixes(joined, start)
     # the window that begins at each symbol, if one does
     window = np.full(len(joined), -1)
-    window[ragged(place[:-1], windows[several])] = ragged(slot[several], windows[several])
+    window[ragged(place[:-1], windows)] = ragged(slot, windows)
     origin = np.zeros(len(joined), np.int64)
-    origin[ragged(place[:-1], size[several])] = ragged(at[several], size[several])
+    origin[ragged(place[:-1], size)] = ragged(at, size)
     home = np.repeat(np.arange(len(borders)), np.diff(start))
     order = order[window[order] >= 0]
     padded = np.append(text, np.zeros(8, np.uint8))
@@ -188,7 +231,6 @@ def _earliest(text: np.ndarray, at: np.ndarray, size: np.ndarray, ids: np.ndarra
     first = np.flatnonzero(np.concatenate([[True], ~same]))
     found = least[window[order]]
     least[window[order]] = np.repeat(np.minimum.reduceat(found, first), np.diff(np.append(first, len(found))))
-    return least
 
 
 def _resolve(table: pa.Table) -> pa.Table:
@@ -224,6 +266,15 @@ def _resolve(table: pa.Table) -> pa.Table:
 
 def _apply(table: pa.Table, answers: pa.Table) -> pa.Table:
     """A block with its answers → first holder, spans to remove and remaining bytes of each distinct text."""
+    return _removed(table, answers, "kept")
+
+
+def _apply_to_text(table: pa.Table, answers: pa.Table) -> pa.Table:
+    """``_apply`` with what is left as text: a character that lost a byte goes whole."""
+    return _removed(table, answers, "kept_text")
+
+
+def _removed(table: pa.Table, answers: pa.Table, form: str) -> pa.Table:
     names, texts = _texts(table)
     about = next(x.as_py() for x in answers.column("about") if x.as_py() is not None)
     ids = np.frombuffer(about[: 8 * len(names)], np.int64)
@@ -248,18 +299,17 @@ def _apply(table: pa.Table, answers: pa.Table) -> pa.Table:
     owner = np.searchsorted(at, begin, "right") - 1
     offsets = np.searchsorted(owner, np.arange(len(names) + 1))
     data = np.frombuffer(b"".join(texts), np.uint8)
-    left = data[~gone].tobytes()
-    cut = np.concatenate([[0], np.cumsum(~gone)])[at]
-    # what is left as text: a character that lost a byte goes whole
-    letter = np.cumsum((data & 0xC0) != 0x80)
-    whole = ~(np.bincount(letter, weights=gone, minlength=1) > 0)[letter] if len(data) else ~gone
-    clean = data[whole].tobytes()
-    clear = np.concatenate([[0], np.cumsum(whole)])[at]
+    keep = ~gone
+    if form == "kept_text" and len(data):
+        letter = np.cumsum((data & 0xC0) != 0x80)
+        keep = ~(np.bincount(letter, weights=gone, minlength=1) > 0)[letter]
+    left = data[keep].tobytes()
+    cut = np.concatenate([[0], np.cumsum(keep)])[at]
+    kept = pa.array([left[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
     spans = pa.StructArray.from_arrays([pa.array(begin - at[owner]), pa.array(end - at[owner])], ["start", "end"])
     return pa.table({
         "h": pa.array(names, pa.string()), "first_id": pa.array(ids, mask=ids == _NEVER), "spans": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans),
-        "kept": pa.array([left[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
-        "kept_text": pa.array([clean[a:b].decode() for a, b in zip(clear[:-1], clear[1:], strict=True)], pa.string()),
+        form: kept.cast(pa.string()) if form == "kept_text" else kept,
     })
 
 
@@ -282,21 +332,22 @@ def _each_once(blocks: int):
     return run
 
 
-def repeated_strings(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def repeated_strings(docs: DataFrame, form: str = "kept") -> tuple[DataFrame, DataFrame]:
     """What to remove from the texts of ``doc_id, text``, by distinct text.
 
     The first table has ``doc_id, h, n_bytes`` for each row, the second for
     each distinct text ``h`` the smallest id that holds it, ``spans`` (start
-    and end in bytes) to remove there, the ``kept`` bytes, and ``kept_text``,
-    which leaves out characters that lost a byte.
+    and end in bytes) to remove there, and what is left: in the ``form``
+    ``kept`` as bytes, in ``kept_text`` without characters that lost a byte.
 
     1. Equal texts are one text from the start.
     2. Every 50-byte window has a key, the least hash of its 16-byte grams. Keys
        are dealt by hash and those of one text only are dropped.
     3. For the other keys the pieces of text whose windows have that key meet,
-       equal pieces once for each block. The suffix array of a key's distinct
-       pieces, built by linear grouping, puts equal windows side by side, and
-       each gets the smallest doc_id of all.
+       equal pieces once for each block. Of a key's distinct pieces the stretches
+       whose windows have a hash twice go into a suffix array, built by linear
+       grouping; it puts equal windows side by side, and each gets the smallest
+       doc_id of all.
     4. Each text removes the windows that a smaller doc_id holds.
     """
     blocks, buckets = (bucket_count(docs.select("doc_id", "text"), b) for b in (BLOCK_BYTES, BUCKET_BYTES))
@@ -311,7 +362,7 @@ def repeated_strings(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     pieces = texts.cogroup(known.groupBy("block")).applyInArrow(_send(buckets), _PIECES)
     # sorting takes long for its bytes: as many tasks as buckets, whatever their size
     answers = pieces.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_resolve, "bucket int, block int, ids binary, about binary")
-    done = texts.cogroup(answers.groupBy("block")).applyInArrow(_apply, "h string, first_id long, spans array<struct<start:bigint,end:bigint>>, kept binary, kept_text string")
+    done = texts.cogroup(answers.groupBy("block")).applyInArrow(_apply if form == "kept" else _apply_to_text, f"h string, first_id long, spans array<struct<start:bigint,end:bigint>>, {form} {'binary' if form == 'kept' else 'string'}")
     return rows, done
 
 
@@ -353,12 +404,16 @@ def digests(docs: DataFrame) -> DataFrame:
 def cleaned(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with what ``dedup`` keeps of their texts; rows that lose all of it go.
 
-    Rows with empty or null text stay as they are.
+    Rows with empty or null text stay as they are. The texts themselves do not
+    go through the join with what is left of them.
     """
-    _, done = repeated_strings(docs)
+    _, done = repeated_strings(docs, "kept_text")
     done = done.select(F.col("h").alias("_h"), F.col("first_id").alias("_first"), F.col("kept_text").alias("_text"))
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text", F.md5(F.encode(text, "UTF-8")).alias("_h"), (F.octet_length(text) >= LENGTH).alias("_long")).join(done, "_h")
-    left = F.when(F.col("_long") & ~F.col("doc_id").cast("long").eqNullSafe(F.col("_first")), F.lit("")).otherwise(F.col("_text"))
-    rows = rows.withColumn("_left", left).where((F.col("_left") != "") | F.isnull("text") | (F.col("text") == ""))
-    return rows.select(*(F.when(F.isnotnull("text"), F.col("_left")).alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns))
+    text, others = F.coalesce("text", F.lit("")), [c for c in docs.columns if c != "text"]
+    rows = docs.select(
+        F.struct(*others).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.md5(F.encode(text, "UTF-8")).alias("_h"),
+        (F.octet_length(text) >= LENGTH).alias("_long"), (text == "").alias("_empty"), F.isnull("text").alias("_null"),
+    ).join(done, "_h")
+    left = F.when(F.col("_long") & ~F.col("_id").eqNullSafe(F.col("_first")), F.lit("")).otherwise(F.col("_text"))
+    rows = rows.withColumn("_left", left).where((F.col("_left") != "") | F.col("_empty"))
+    return rows.select(*(F.when(~F.col("_null"), F.col("_left")).alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mergewell.llm.common import checkpointed
-from mergewell.llm.packing import bounds, bucket_count, pack, squeeze, unpack, unsqueeze
+from mergewell.llm.packing import bounds, bucket_count, pack, squeeze, unpack, unsqueeze, word_keys
 from mergewell.llm.suffixes import ragged
 
 #: Hidden states, words with emissions of their own, and classes of all other words.
@@ -30,7 +30,7 @@ class _Keys(dict):
     """A word's key: 56 bits of its hash, and 8 for its class by ending."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 300_000:
             self.clear()
         stem = word.rstrip(b".,;:!?)'\"") or word
         ending = zlib.crc32(stem[-2:] + (b"." if len(stem) < len(word) else b""))
@@ -53,9 +53,7 @@ def _tokenized(buckets: int, kind: pa.DataType):
     edges = bounds(buckets)
 
     def block(number: int, ids: list, texts: list, keys: _Keys) -> pa.RecordBatch:
-        split = [(t or "").encode().lower().split() for t in texts]
-        size = np.array([len(w) for w in split], np.uint32)
-        flat = np.fromiter((k for w in split for k in map(keys.__getitem__, w)), np.uint64, int(size.sum()))
+        flat, size = word_keys(texts, keys)
         train = np.array([not _held_out(i) for i in ids], bool)
         every, token = np.unique(flat, return_inverse=True)
         counts = np.bincount(token, weights=np.repeat(train, size), minlength=len(every)).astype(np.uint32)
@@ -64,7 +62,7 @@ def _tokenized(buckets: int, kind: pa.DataType):
         none = [None] * len(full)
         return pa.RecordBatch.from_arrays([
             pa.array([*full, -1 - number % buckets], pa.int32()), pa.array([number] * (len(full) + 1), pa.int64()),
-            pa.array([*none, ids], pa.list_(kind)), pa.array([*none, size.tobytes()], pa.binary()), pa.array([*none, train.tobytes()], pa.binary()), pa.array([*none, int(train.sum())], pa.int64()),
+            pa.array([*none, ids], pa.list_(kind)), pa.array([*none, size.astype(np.uint32).tobytes()], pa.binary()), pa.array([*none, train.tobytes()], pa.binary()), pa.array([*none, int(train.sum())], pa.int64()),
             pa.array([*none, squeeze(token.astype(np.uint32))], pa.binary()),
             pa.array([*(pack(every[cut[b] : cut[b + 1]]) for b in full), None], pa.binary()), pa.array([*(counts[cut[b] : cut[b + 1]].tobytes() for b in full), None], pa.binary()),
             *(pa.array([None] * (len(full) + 1), pa.list_(pa.int64())) for _ in range(3)),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from mergewell.llm.common import checkpointed
 from mergewell.llm.components import components
-from mergewell.llm.packing import bounds, bucket_count, mixed, pack, squeeze, unpack, unsqueeze
+from mergewell.llm.packing import bounds, bucket_count, mixed, pack, squeeze, unpack, unsqueeze, word_keys
 
 WORDS = 5
 #: Text of one block of documents, and plan bytes for one bucket of shingles.
@@ -31,7 +31,7 @@ class _Words(dict):
     """64-bit hashes of words, computed once each; emptied when large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 300_000:
             self.clear()
         h = xxhash.xxh3_64_intdigest(word)
         if len(word) < 64:
@@ -41,11 +41,9 @@ class _Words(dict):
 
 def shingles(texts: list[str | None], words: _Words) -> tuple[np.ndarray, np.ndarray]:
     """Sorted (hash, document) of the distinct shingles of each text."""
-    split = [(t or "").encode().lower().split() for t in texts]
-    size = np.array([len(w) for w in split], np.int64)
-    flat = np.fromiter((h for w in split for h in map(words.__getitem__, w)), np.uint64, int(size.sum()))
+    flat, size = word_keys(texts, words)
     start = np.concatenate([[0], np.cumsum(size)])
-    owner = np.repeat(np.arange(len(split)), np.maximum(size - WORDS + 1, 0))
+    owner = np.repeat(np.arange(len(size)), np.maximum(size - WORDS + 1, 0))
     first = np.arange(len(owner)) + np.repeat(start[:-1] - np.concatenate([[0], np.cumsum(np.maximum(size - WORDS + 1, 0))[:-1]]), np.maximum(size - WORDS + 1, 0))
     h = np.zeros(len(owner), np.uint64)
     for k in range(WORDS):

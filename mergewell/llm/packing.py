@@ -35,6 +35,23 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def word_keys(texts: list[str | None], keys: dict[bytes, int], chars: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all words of the texts in lower case (A-Z), and how many each text has.
+
+    Texts are split a few at a time, so that words are not all held at once.
+    """
+    size, flat, part, waiting = np.zeros(len(texts), np.int64), [np.zeros(0, np.uint64)], [], 0
+    for k, text in enumerate(texts):
+        words = (text or "").encode().lower().split()
+        size[k] = len(words)
+        part.append(words)
+        waiting += len(text or "")
+        if waiting > chars or k == len(texts) - 1:
+            flat.append(np.fromiter((h for w in part for h in map(keys.__getitem__, w)), np.uint64, sum(map(len, part))))
+            part, waiting = [], 0
+    return np.concatenate(flat), size
+
+
 def bounds(buckets: int) -> np.ndarray:
     """The first key of each bucket after bucket 0: equal ranges of the key space."""
     return np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)

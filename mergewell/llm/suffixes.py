@@ -14,6 +14,8 @@ places of their groups, up to the first that has its place. No suffix is renamed
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 
 
@@ -25,16 +27,18 @@ def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return out
 
 
-def suffix_array(text: list[int]) -> list[int]:
-    """The suffix array of one text of non-negative symbols."""
-    n = len(text)
-    sa = sorted(range(n), key=text.__getitem__)
-    place, group, end, prev = [0] * n, [0] * n, [0] * n, list(range(-1, n - 1))
-    first = 0
-    for k, i in enumerate(sa):
-        if k and text[i] != text[sa[k - 1]]:
-            first = k
-        place[i], group[i], end[first] = k, first, k
+def suffix_array(text: list[int] | np.ndarray) -> np.ndarray:
+    """The suffix array of one text of non-negative symbols; seven numbers of 4 bytes for each symbol."""
+    symbols = np.asarray(text)
+    n = len(symbols)
+    order = np.argsort(symbols, kind="stable").astype(np.int32)
+    first = np.flatnonzero(np.concatenate([[True], symbols[order][1:] != symbols[order][:-1]])) if n else np.zeros(0, np.int64)
+    numbers = lambda x: array("i", np.ascontiguousarray(x, np.int32).tobytes())
+    rank, head, last = np.empty(n, np.int32), np.empty(n, np.int32), np.zeros(n, np.int32)
+    rank[order] = np.arange(n)
+    head[order] = np.repeat(first, np.diff(np.append(first, n)))
+    last[first] = np.append(first[1:], n)[: len(first)] - 1
+    sa, place, group, end, prev = numbers(order), numbers(rank), numbers(head), numbers(last), numbers(np.arange(-1, n - 1))
     top = n - 1
     while top >= 0:
         low = group[sa[top]]
@@ -69,8 +73,8 @@ def suffix_array(text: list[int]) -> list[int]:
                 group[p] = begin
                 end[begin] = at
                 at += 1
-    out, free, done = [-1] * n, list(range(n)), bytearray(n)
-    for k in range(-1, n):
+    out, free, done = numbers(np.full(n, -1)), numbers(np.arange(n)), bytearray(n)
+    for k in range(-1, n if n else -1):
         j = out[k] - 1 if k >= 0 else n - 1
         while j >= 0 and not done[j]:
             g = group[j]
@@ -78,7 +82,7 @@ def suffix_array(text: list[int]) -> list[int]:
             free[g] += 1
             done[j] = 1
             j = prev[j]
-    return out
+    return np.frombuffer(out, np.int32)
 
 
 def suffix_arrays(text: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -187,7 +191,7 @@ def sorted_suffixes(text: np.ndarray, start: np.ndarray, together: int = 400_000
     order = np.argsort(sizes, kind="stable")
     for k in order[sizes[order] > ALONE].tolist():
         a, b = start[k], start[k + 1]
-        out[a:b] = np.array(suffix_array(text[a:b].tolist())) + a
+        out[a:b] = suffix_array(text[a:b]) + np.int64(a)
     order = order[sizes[order] <= ALONE]
     cuts = np.flatnonzero(np.diff(np.cumsum(sizes[order]) // together)) + 1
     for part in np.split(order, cuts) if len(order) else ():

@@ -102,3 +102,13 @@ def test_empty_table(spark, sf_dir):
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
         assert docs.count() == 0, name
+
+
+def test_columns_that_clash(spark, rows, sf_dir):
+    extra = ["kept", "n_words", "base_failed", "size", "taken", "repeats", "h", "spans", "set_id", "label", "ids", "n_tokens"]
+    docs = spark.createDataFrame([(*r, *(f"{r[0]}{c}" for c in extra)) for r in rows], ", ".join([SCHEMA, *(f"{c} string" for c in extra)]))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.columns == [*SCHEMA.replace(" long", "").replace(" string", "").split(", "), *extra], name
+        assert all(r[c] == f"{r.doc_id}{c}" for r in docs.collect() for c in extra), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).columns == ["doc_id", "n_tokens", "ids"]
