@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import json
 from functools import reduce
-from pathlib import Path
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mergewell.functions.hashing import fold, sampled
+from mergewell.operators.features import stage0
+from mergewell.operators.lineage import written
+from mergewell.sources import storage
 
 #: Columns that identify a row or say the answer.
 NOT_FEATURES = ("s1_id", "t_id", "label", "p1", "p", "ckey")
@@ -28,25 +29,54 @@ def assembled(df: DataFrame, columns: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(filled), outputCol="_features").transform(df.withColumns(filled)).drop(*filled)
 
 
-def train(df: DataFrame, columns: list[str], rounds: int = 20, depth: int = 5, rate: float = 0.1, stop_salt: int | None = None, stop_share: float = 0.08, seed: int = 42) -> GBTClassificationModel:
-    """Boosted trees; with ``stop_salt`` a share of entities decides when to stop."""
+def train(
+    df: DataFrame, columns: list[str], rounds: int = 20, depth: int = 5, rate: float = 0.1, stop_salt: int | None = None, stop_share: float = 0.08, seed: int = 42, least_rows: int = 1,
+) -> GBTClassificationModel:
+    """Boosted trees; with ``stop_salt`` a share of entities decides when to stop.
+
+    Rows are written as vectors once, since every tree reads them again. Without
+    a row for the decision, all rounds are run.
+    """
+    keep = ["_features", "_y"]
     rows = assembled(df.withColumn("_y", F.col("label").cast("double")), columns)
-    gbt = GBTClassifier(featuresCol="_features", labelCol="_y", maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed)
+    gbt = GBTClassifier(featuresCol="_features", labelCol="_y", maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed, minInstancesPerNode=least_rows)
     if stop_salt is not None:
-        rows = rows.withColumn("_stop", sampled(F.col("s1_id"), stop_share, stop_salt))
+        rows, keep = rows.withColumn("_stop", F.coalesce(sampled(F.col("s1_id"), stop_share, stop_salt), F.lit(False))), [*keep, "_stop"]
+    rows = written(rows.select(*keep))
+    if stop_salt is not None and rows.select("_stop").distinct().count() == 2:
         gbt = gbt.setValidationIndicatorCol("_stop")
     return gbt.fit(rows)
 
 
+def train_stage0(labeled: DataFrame, share: float = 0.15, rounds: int = 20, depth: int = 5, seed: int = 42) -> tuple[GBTClassificationModel, list[str]]:
+    """The model that prunes candidates, from what retrieval alone tells, and its columns.
+
+    It learns from a share of the queries of all countries (salt 3); a tenth of
+    them (salt 7) decides when to stop.
+    """
+    rows = stage0(labeled.where(sampled(F.col("s1_id"), share, 3)))
+    columns = stage0_columns(rows)
+    return train(rows, columns, rounds, depth, 0.1, stop_salt=7, stop_share=0.1, seed=seed), columns
+
+
+def stage0_columns(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c.startswith(("s0_", "cos_", "rank_"))]
+
+
 def scored(model: GBTClassificationModel, df: DataFrame, columns: list[str], out: str) -> DataFrame:
     rows = model.transform(assembled(df, columns))
     return rows.withColumn(out, vector_to_array("probability")[1]).select(*df.columns, out)
 
 
-def out_of_fold(df: DataFrame, columns: list[str], out: str, folds: int = 5, **options) -> tuple[DataFrame, list[GBTClassificationModel]]:
-    """Every row scored by the model that has not seen its entity, and the models."""
-    rows = df.withColumn("_fold", fold(F.col("s1_id"), folds)).cache()
-    models = [train(rows.where(F.col("_fold") != k), columns, **options) for k in range(folds)]
+def out_of_fold(df: DataFrame, columns: list[str], out: str, folds: int = 5, share: float = 1.0, salt: int = 1, **options) -> tuple[DataFrame, list[GBTClassificationModel]]:
+    """Every row scored by the model that has not seen its entity, and the models.
+
+    Model k learns from the other folds, or a share of their entities; another
+    8 % of those (salt 100 + k) decide when to stop.
+    """
+    rows = df.withColumn("_fold", F.coalesce(fold(F.col("s1_id"), folds), F.lit(0)))
+    seen = rows.where(F.coalesce(sampled(F.col("s1_id"), share, salt), F.lit(True)))
+    models = [train(seen.where(F.col("_fold") != k), columns, stop_salt=100 + k, **options) for k in range(folds)]
     parts = [scored(m, rows.where(F.col("_fold") == k), columns, out) for k, m in enumerate(models)]
     return reduce(DataFrame.unionByName, parts).drop("_fold"), models
 
@@ -71,13 +101,14 @@ def importance(models: list[GBTClassificationModel], columns: list[str]) -> list
     return sorted(zip(columns, total.tolist(), strict=True), key=lambda x: (-x[1], x[0]))
 
 
-def save(model: GBTClassificationModel, columns: list[str], path: str) -> None:
+def save(spark: SparkSession, model: GBTClassificationModel, columns: list[str], path: str) -> None:
+    """The model and beside it the columns it was trained on, which are written last."""
     model.write().overwrite().save(f"{path}/model")
-    Path(f"{path}/features.json").write_text(json.dumps(columns), encoding="utf-8")
+    storage.write_json(spark, f"{path}/features.json", columns)
 
 
-def load(path: str, columns: list[str]) -> GBTClassificationModel:
+def load(spark: SparkSession, path: str, columns: list[str]) -> GBTClassificationModel:
     """The model, if it was trained on exactly these columns."""
-    if (known := json.loads(Path(f"{path}/features.json").read_text(encoding="utf-8"))) != columns:
+    if (known := storage.read_json(spark, f"{path}/features.json")) != columns:
         raise ValueError(f"the model has {known}, not {columns}")
     return GBTClassificationModel.load(f"{path}/model")

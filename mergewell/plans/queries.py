@@ -130,10 +130,17 @@ def _strings(c: Case) -> DataFrame:
     return rows.select("s1_id", "t_id", *(F.round(x, 9).alias(x) for x in rows.columns[2:]))
 
 
+def _pruned(c: Case) -> DataFrame:
+    """The 60 best pairs of each query by a model that learned from what retrieval tells."""
+    rows = features.stage0(c.labeled)
+    model, columns = learning.train_stage0(c.labeled, share=1.0, rounds=5)
+    return learning.prune(learning.scored(model, rows, columns, "score0"))
+
+
 def _trained(c: Case) -> DataFrame:
-    """Scores of pairs by models that have not seen their query: stage 0, context and sets as features."""
-    rows = features.context(features.stage0(c.labeled)).join(features.sets_and_flags(c.pairs, c.queries, c.targets), ["s1_id", "t_id"]).cache()
-    out, _ = learning.out_of_fold(rows, learning.feature_columns(rows), "p1", folds=3, rounds=5, depth=4)
+    """Scores of pairs by models that have not seen their query, from all features."""
+    rows = written(features.context(features.pair_features(features.stage0(c.labeled), c.queries, c.targets)))
+    out, _ = learning.out_of_fold(rows, learning.feature_columns(rows), "p1", folds=5, rounds=20, depth=5)
     return out.select("s1_id", "t_id", "label", "p1")
 
 
@@ -178,6 +185,7 @@ def queries() -> dict[str, Query]:
         "stage2_context": lambda c: features.standing(c.scored).drop("q_p1_sum", "q_p1_share", "_top1", "_top2"),
         "stage2_siblings": _siblings,
         "prune_top": lambda c: learning.prune(c.scores.select("s1_id", "t_id", F.col("p").alias("score0")), 10),
+        "stage0_model": lambda c: _pruned(c).select("s1_id", "t_id", "label", "score0"),
         "label_join": lambda c: c.labeled.select("s1_id", "t_id", "label"),
         "gbt_out_of_fold": _trained,
         "exclusive": lambda c: decision.exclusive(c.scores.drop("label")),

@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-import json
-import os
-import tempfile
-import zipfile
 from functools import reduce
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +21,11 @@ def read_tsv(spark: SparkSession, path: str, expected: tuple[str, ...], limit: i
     return df if limit is None else df.limit(limit)
 
 
+def tsv_rows(spark: SparkSession, path: str) -> int:
+    """Lines below the header; no column is parsed."""
+    return spark.read.csv(path, sep="\t", header=True, quote="", inferSchema=False, lineSep="\n", encoding="UTF-8").count()
+
+
 def check_keys(df: DataFrame, key: str = "entity_id") -> DataFrame:
     """The frame itself; null or repeated keys are an error. One pass counts both."""
     per = df.groupBy(key).agg(F.count("*").alias("n")).agg(F.max(F.when(F.col(key).isNull(), F.col("n"))).alias("null"), F.count_if((F.col("n") > 1) & F.col(key).isNotNull()).alias("twice"))
@@ -74,27 +74,10 @@ def read_records(spark: SparkSession, paths: list[str], ckey: str | None = None,
     return df if columns is None else df.select(*columns)
 
 
-def countries(records: DataFrame) -> DataFrame:
-    return records.select("ckey").distinct().orderBy("ckey")
-
-
-def write_json(value: object, path: str) -> None:
-    """Complete or absent: written beside and renamed."""
-    with tempfile.NamedTemporaryFile("w", dir=Path(path).parent, delete=False, suffix=".tmp", encoding="utf-8") as f:
-        json.dump(value, f, indent=2, sort_keys=True, default=str)
-    os.replace(f.name, path)
-
-
-def read_json(path: str) -> object | None:
-    """None if the file is absent or unreadable."""
-    try:
-        return json.loads(Path(path).read_text(encoding="utf-8"))
-    except (OSError, ValueError):
-        return None
+def query_count(records: DataFrame, ckey: str) -> int:
+    """Records of source 1 in a country."""
+    return records.where((F.col("ckey") == ckey) & F.col("entity_id").startswith("S1-")).count()
 
 
-def pack_files(paths: list[str], target: str) -> None:
-    with zipfile.ZipFile(f"{target}.tmp", "w", zipfile.ZIP_DEFLATED) as z:
-        for p in paths:
-            z.write(p, Path(p).name)
-    os.replace(f"{target}.tmp", target)
+def countries(records: DataFrame) -> DataFrame:
+    return records.select("ckey").distinct().orderBy("ckey")
