@@ -10,15 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mergewell.llm.packing import bounds, bucket_count, mixed, pack, unpack
+from mergewell.llm.packing import bounds, bucket_count, mixed, pack, pack_runs, tidy, unpack, unpack_runs
 from mergewell.llm.suffixes import ragged, sorted_suffixes
 
 #: Bytes of a string that counts as repeated, and of the grams among which its key is chosen.
 LENGTH, GRAM = 50, 16
 #: Plan bytes for one block of texts and for one bucket of keys.
 BLOCK_BYTES, BUCKET_BYTES = 2_000_000, 1_500_000
-#: Bytes of text whose grams are hashed together.
-PART = 500_000
+#: Bytes of text whose grams are hashed together, and of pieces whose windows are compared together.
+PART, SYMBOLS = 500_000, 500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _NEVER = np.iinfo(np.int64).max
 
@@ -90,6 +90,7 @@ def _deal(buckets: int):
         keys, twice = key[first], text[first] != text[last]
         cut = _cut(keys, edges)
         full = [b for b in range(buckets) if cut[b] < cut[b + 1]]
+        tidy()
         return pa.table({
             "bucket": pa.array(full, pa.int32()), "block": pa.array([table.column("block")[0].as_py()] * len(full), pa.int32()),
             "keys": pa.array([pack(keys[cut[b] : cut[b + 1]]) for b in full], pa.binary()),
@@ -142,6 +143,7 @@ def _send(buckets: int):
         full = [b for b in range(buckets) if cut[b] < cut[b + 1]]
         about = ids.tobytes() + b"".join(np.ascontiguousarray(x.astype(np.uint32)).tobytes() for x in (runs.text[mine], start - runs.text_at[runs.text[mine]], windows, which))
         parts = [slice(cut[b], cut[b + 1]) for b in full]
+        tidy()
         return pa.table({
             "bucket": pa.array([*full, -1 - number % buckets], pa.int32()), "block": pa.array([number] * (len(full) + 1), pa.int32()),
             "keys": pa.array([*(pack(keys[p]) for p in parts), None], pa.binary()), "sizes": pa.array([*(sizes[p].tobytes() for p in parts), None], pa.binary()),
@@ -253,14 +255,18 @@ def _resolve(table: pa.Table) -> pa.Table:
     one = key[first][order]
     group = np.cumsum(np.concatenate([[False], one[1:] != one[:-1]]))
     size, text = sizes[first][order], np.frombuffer(data, np.uint8)
-    found = _earliest(text, at[first][order], size, least[order], group)
+    # some groups at a time
+    ends = np.flatnonzero(np.append(group[1:] != group[:-1], True)) + 1
+    steps = [0, *ends[np.flatnonzero(np.diff(np.cumsum(size)[ends - 1] // SYMBOLS))].tolist(), len(group)]
+    at = at[first][order]
+    found = np.concatenate([_earliest(text, at[a:b], size[a:b], least[order][a:b], group[a:b] - group[a]) for a, b in zip(steps[:-1], steps[1:], strict=True) if a < b])
     slot = np.concatenate([[0], np.cumsum(size - LENGTH + 1)])
     back = np.empty(len(order), np.int64)
     back[order] = np.arange(len(order))
     mine = back[which]
-    answer = found[ragged(slot[mine], sizes - LENGTH + 1)]
-    cut = np.concatenate([[0], np.cumsum(sizes - LENGTH + 1)])[np.cumsum([0, *map(len, keys)])]
-    sent = [answer[a:b].view(np.uint8).reshape(-1, 8).T.tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    cut = np.cumsum([0, *map(len, keys)])
+    sent = [pack_runs(found[ragged(slot[mine[a:b]], sizes[a:b] - LENGTH + 1)]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    tidy()
     return pa.table([table.column("bucket"), table.column("block"), pa.array(sent, pa.binary()), pa.array([None] * len(keys), pa.binary())], names=["bucket", "block", "ids", "about"])
 
 
@@ -280,39 +286,51 @@ def _removed(table: pa.Table, answers: pa.Table, form: str) -> pa.Table:
     ids = np.frombuffer(about[: 8 * len(names)], np.int64)
     text, start, windows, which = np.frombuffer(about[8 * len(names) :], np.uint32).astype(np.int64).reshape(4, -1)
     sent = sorted((b.as_py(), x.as_py()) for b, x in zip(answers.column("bucket"), answers.column("ids"), strict=True) if x.as_py() is not None)
-    least = np.concatenate([np.zeros(0, np.int64), *(np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view(np.int64).ravel() for _, x in sent)])
+    least = np.concatenate([np.zeros(0, np.int64), *(unpack_runs(x) for _, x in sent)])
     size = np.array([len(t) for t in texts], np.int64)
     at = np.concatenate([[0], np.cumsum(size)])
     of_piece = np.zeros(which.max() + 1 if len(which) else 0, np.int64)
     of_piece[which] = windows
     slot = np.concatenate([[0], np.cumsum(of_piece)])
     hit = least[ragged(slot[which], windows)] < np.repeat(ids[text], windows)
-    where = ragged(at[text] + start, windows)[hit]
-    change = np.zeros(at[-1] + 1, np.int32)
-    change[where] += 1
-    change[where + LENGTH] -= 1
-    gone = np.cumsum(change[:-1]) > 0
-    edge = np.zeros(len(gone) + 1, bool)
-    edge[at] = True  # spans end with their text
-    begin = np.flatnonzero(gone & (edge[:-1] | ~np.concatenate([[False], gone[:-1]])))
-    end = np.flatnonzero(gone & (edge[1:] | ~np.concatenate([gone[1:], [False]]))) + 1
-    owner = np.searchsorted(at, begin, "right") - 1
+    where = np.sort(ragged(at[text] + start, windows)[hit])
+    del hit, least
+    owner = np.searchsorted(at, where, "right") - 1
+    # windows that overlap or touch in one text are one span
+    first = np.flatnonzero(np.concatenate([[True], (where[1:] > where[:-1] + LENGTH) | (owner[1:] != owner[:-1])])) if len(where) else where
+    last = np.append(first[1:], len(where))[: len(first)] - 1
+    owner = owner[first]
+    begin, end = where[first] - at[owner], where[last] + LENGTH - at[owner]
     offsets = np.searchsorted(owner, np.arange(len(names) + 1))
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    keep = ~gone
-    if form == "kept_text" and len(data):
-        letter = np.cumsum((data & 0xC0) != 0x80)
-        keep = ~(np.bincount(letter, weights=gone, minlength=1) > 0)[letter]
-    left = data[keep].tobytes()
-    cut = np.concatenate([[0], np.cumsum(keep)])[at]
-    kept = pa.array([left[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
-    spans = pa.StructArray.from_arrays([pa.array(begin - at[owner]), pa.array(end - at[owner])], ["start", "end"])
+    cut = _without if form == "kept" else _without_characters
+    kept = pa.array((cut(t, begin[a:b].tolist(), end[a:b].tolist()) for t, a, b in zip(texts, offsets[:-1], offsets[1:], strict=True)), pa.binary())
+    spans = pa.StructArray.from_arrays([pa.array(begin), pa.array(end)], ["start", "end"])
+    tidy()
     return pa.table({
         "h": pa.array(names, pa.string()), "first_id": pa.array(ids, mask=ids == _NEVER), "spans": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans),
         form: kept.cast(pa.string()) if form == "kept_text" else kept,
     })
 
 
+def _without(text: bytes, begin: list[int], end: list[int]) -> bytes:
+    if not begin:
+        return text
+    return b"".join(text[a:b] for a, b in zip([0, *end], [*begin, len(text)], strict=True))
+
+
+def _without_characters(text: bytes, begin: list[int], end: list[int]) -> bytes:
+    """Without the spans and what is left of characters that they cut."""
+    out, at = [], 0
+    for a, b in zip(begin, end, strict=True):
+        while a > at and text[a] & 0xC0 == 0x80:
+            a -= 1
+        while b < len(text) and text[b] & 0xC0 == 0x80:
+            b += 1
+        out.append(text[at:a])
+        at = max(at, b)
+    return b"".join([*out, text[at:]])
+
+
 def _each_once(blocks: int):
     """Texts by fingerprint; a task sends a text that it has sent before not again."""
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+from contextlib import suppress
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,6 +31,25 @@ def unpack(data: bytes) -> np.ndarray:
     return np.cumsum(unsqueeze(data, np.uint64), dtype=np.uint64)
 
 
+def pack_runs(numbers: np.ndarray) -> bytes:
+    """Numbers that change seldom: each run's number and length."""
+    first = np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]])) if len(numbers) else np.zeros(0, np.int64)
+    values = squeeze(np.ascontiguousarray(numbers[first], np.int64))
+    return len(values).to_bytes(8, "little") + values + squeeze(np.diff(np.append(first, len(numbers))).astype(np.uint32))
+
+
+def unpack_runs(data: bytes) -> np.ndarray:
+    at = 8 + int.from_bytes(data[:8], "little")
+    return np.repeat(unsqueeze(data[8:at], np.int64), unsqueeze(data[at:], np.uint32))
+
+
+def tidy() -> None:
+    """Gives memory that is free back to the system, which shares it with the JVM and with other workers."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer; every input bit moves every output bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
