@@ -80,6 +80,7 @@ def tree(page: str) -> Node:
     text: list[str] = []
     spans: list[int] = []  # characters of pieces that are links
     links, at = 0, 0
+    skipped, depth = "", 0  # the inline element of furniture that is open, and how deep it is nested in itself
 
     def flush() -> None:
         if text:
@@ -90,7 +91,7 @@ def tree(page: str) -> Node:
             spans.clear()
 
     def add(piece: str) -> None:
-        if piece:
+        if piece and not depth:
             text.append(piece)
             if links:
                 spans.append(len(" ".join(entities.unescape(piece).split())))
@@ -102,6 +103,13 @@ def tree(page: str) -> Node:
         tag = (m[2] or "").lower()
         if not tag:
             continue
+        if depth and tag not in RAW:
+            if tag == skipped:
+                depth += -1 if m[1] else 1
+                continue
+            if tag not in BLOCKS:
+                continue
+            depth = 0  # one that was never closed ends with its paragraph
         if m[1]:
             if tag == "a":
                 links = max(0, links - 1)
@@ -140,14 +148,16 @@ def tree(page: str) -> Node:
                 child = Node(tag, here, drop, good)
                 here.children.append(child)
                 here = child
-        elif m[3] and tag in ("span", "ins", "small", "strong", "em", "b", "i") and _furniture(tag, m[3])[0]:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = end.end() if end else at
+        elif m[3] and tag in _INLINE and _furniture(tag, m[3])[0]:
+            skipped, depth = tag, 1
     add(page[at:])
     flush()
     return root
 
 
+_INLINE = frozenset("span ins small strong em b i u mark sup sub label font cite abbr time".split())
+
+
 def _weigh(node: Node) -> None:
     """Sums characters upwards; paragraphs pass points to their ancestors."""
     stack = [(node, iter(node.children))]
@@ -187,6 +197,52 @@ def _nodes(root: Node) -> Iterator[Node]:
         stack += [c for c in reversed(node.children) if isinstance(c, Node) and not c.drop]
 
 
+def _above(node: Node, top: Node) -> Iterator[Node]:
+    """The ancestors of a node below ``top``."""
+    up = node.parent
+    while up is not None and up is not top:
+        yield up
+        up = up.parent
+
+
+def _belongs(beside: Node | Block, least: float, article: bool, before: bool) -> bool:
+    """Whether what stands beside the best container is part of the text.
+
+    Beside one that declares itself an article only headings before it and other
+    such elements with a score are; beside others also paragraphs with few links.
+    """
+    if isinstance(beside, Block):
+        return not article and len(beside.text) >= 25 and beside.linked < 0.25 * len(beside.text)
+    if beside.drop:
+        return False
+    scores = beside.score * (1 - beside.density()) >= least
+    plain = beside.chars > 0 and beside.density() < 0.25
+    if article:
+        return beside.good and scores or before and plain and beside.tag in ("h1", "h2", "hgroup")
+    return scores or plain and beside.tag in _LEAVES
+
+
+def _reply(node: Node) -> bool:
+    """An article within an article that has text of its own: a reader's comment or another article's teaser."""
+    if node.tag != "article":
+        return False
+    up = node.parent
+    while up is not None and up.tag != "article":
+        up = up.parent
+    return up is not None and up.chars - sum(x.chars for x in _inner(up)) >= 25
+
+
+def _inner(article: Node) -> Iterator[Node]:
+    """The articles directly within an article, however deep."""
+    stack = [c for c in article.children if isinstance(c, Node) and not c.drop]
+    while stack:
+        x = stack.pop()
+        if x.tag == "article":
+            yield x
+        else:
+            stack += [c for c in x.children if isinstance(c, Node) and not c.drop]
+
+
 def extract(page: str | None) -> str:
     """The blocks of the best container and of its kept siblings, joined by two line ends.
 
@@ -195,7 +251,8 @@ def extract(page: str | None) -> str:
     thirds of the one below. A container's score is discounted by the share of
     its characters in links. The best one grows to an enclosing article or
     main element. Of its siblings those stay that score a fifth of it, or that
-    are paragraphs with few links.
+    are paragraphs or bare text with few links; beside an article only others
+    that score, and headings before it. Articles within an article are replies.
     """
     root = tree(page or "")
     _weigh(root)
@@ -208,13 +265,16 @@ def extract(page: str | None) -> str:
         if up.good:
             best = up
         up = up.parent
-    kept = [best]
-    if best.parent is not None and not best.good:
+    if not best.good:  # a wrapper of declared articles
+        inside = [x for x in _nodes(best) if x.good and x.score]
+        if sum(x.chars for x in inside if not any(y is not x and y.good for y in _above(x, best))) >= 0.5 * best.chars and inside:
+            best = max(inside, key=lambda x: x.score * (1 - x.density()))
+    kept: list[Node | Block] = [best]
+    if best.parent is not None:
         least = max(5.0, best.score * (1 - best.density()) / 5)
-        kept = []
-        for s in best.parent.children:
-            if s is best or isinstance(s, Node) and not s.drop and (s.score * (1 - s.density()) >= least or s.tag in _LEAVES and s.chars and s.density() < 0.25):
-                kept.append(s)
+        beside = best.parent.children
+        before = beside.index(best)
+        kept = [s for k, s in enumerate(beside) if s is best or _belongs(s, least, best.good, k < before)]
     out: list[str] = []
     for top in kept:
         stack: list[Node | Block] = [top]
@@ -222,7 +282,7 @@ def extract(page: str | None) -> str:
             x = stack.pop()
             if isinstance(x, Block):
                 out.append(x.text)
-            elif not x.drop or x is top:
+            elif x is top or not x.drop and not _reply(x):
                 stack += reversed(x.children)
     return "\n\n".join(out)
 

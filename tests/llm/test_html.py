@@ -28,6 +28,43 @@ def test_an_article_in_parts():
     assert extract(page).split("\n\n") == [LONG.strip(), LONG.strip(), (LONG + LONG).strip()]
 
 
+def test_inline_furniture():
+    for tag in ("span", "small", "b"):
+        page = f"<article><p>{LONG}<{tag} class='ad'>buy <{tag}>now</{tag}> cheap <i>here</i></{tag}>and on</p><p>{LONG}</p></article>"
+        assert extract(page).split("\n\n") == [f"{LONG}and on", LONG.strip()]
+    unclosed = f"<article><p>{LONG}<span class=ad>buy now</p><p>{LONG}</p></article>"
+    assert extract(unclosed).split("\n\n") == [LONG.strip()] * 2
+    import time
+
+    start = time.perf_counter()
+    assert extract(f"<article><p>{LONG}" + "<span class=ad>x" * 30_000 + "</article>") == LONG.strip()
+    assert time.perf_counter() - start < 5
+
+
+def test_beside_an_article():
+    page = f"<body><div><h1>Title</h1><article><p>{LONG}</p></article><p>A notice that stands beside it, unmarked.</p><article><p>{LONG}{LONG}</p></article><h2>More to read</h2></div></body>"
+    assert extract(page).split("\n\n") == ["Title", LONG.strip(), (LONG + LONG).strip()]
+
+
+def test_bare_text_beside_the_best():
+    page = f"<body><div>{LONG}<div><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div><a href=x>{LONG}</a>tail</div></body>"
+    assert extract(page).split("\n\n")[:4] == [LONG.strip()] * 4
+
+
+def test_replies():
+    reply = f"<article><p>{LONG}</p></article>"
+    assert extract(f"<article><h1>T</h1><p>{LONG}{LONG}</p><section><h2>So far</h2>{reply * 5}</section></article>").split("\n\n") == ["T", (LONG + LONG).strip(), "So far"]
+    assert extract(f"<article>{reply * 2}</article>").split("\n\n") == [LONG.strip()] * 2  # a wrapper without text of its own
+    assert extract(f"<main>{reply * 2}</main>").split("\n\n") == [LONG.strip()] * 2
+
+
+def test_scores_decide():
+    """Without an article element the container with the most points for length and commas is kept."""
+    long = "words that go on, and on, and on, with commas, for quite a while to come"
+    page = f"<body><div><p>short but, a, lot, of, commas, here, and, there</p></div><div><div><p>{long}</p><p>{long}, {long}</p></div></div><div><a href=x>{long}, {long}, {long}, {long}</a></div></body>"
+    assert extract(page).split("\n\n") == [long, f"{long}, {long}"]
+
+
 def test_edges():
     assert extract(None) == extract("") == extract("<html></html>") == ""
     assert extract("plain words only") == "plain words only"
