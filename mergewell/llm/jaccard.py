@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mergewell.llm.common import checkpointed
@@ -271,8 +271,9 @@ def link(docs: DataFrame) -> DataFrame:
     members = labels.groupBy("group").agg(F.count("*").alias("members"))
     tokens = members.join(sets.select(F.col("set").alias("group"), "n", "unique", "prefix"), "group")
     tokens = tokens.select("group", "members", "n", "unique", F.posexplode("prefix").alias("at", "token")).select("token", "group", "members", "n", (F.col("unique") + F.col("at")).alias("at"))
-    of_token = Window.partitionBy("token")
-    tokens = tokens.withColumns({"held": F.count("*").over(of_token), "most": F.max("members").over(of_token)}).where("held > 1 or most > 1")
+    # counted before the shuffle and joined back: a token of very many groups is one row on one side
+    of_token = tokens.groupBy("token").agg(F.count("*").alias("held"), F.max("members").alias("most")).where("held > 1 or most > 1")
+    tokens = tokens.join(of_token, "token").select("token", "group", "members", "n", "at", "held", "most")
     tokens = checkpointed(tokens)
     sides = [tokens.select("token", "held", *(F.col(c).alias(f"{c}_{s}") for c in ("group", "n", "at"))) for s in "ab"]
     few = sides[0].where(f"held <= {PAIRED}").join(sides[1].where(f"held <= {PAIRED}").drop("held"), "token").where(f"group_a < group_b and {_CAN_LINK}").select("group_a", "group_b")
