@@ -23,13 +23,24 @@ def unescape(text: Column) -> Column:
 
 
 def turn_events(rows: DataFrame) -> DataFrame:
-    """A table of finished turns as a log: each row is one message with one delta.
+    """Finished turns as the log that a streaming service would have left of them.
 
     Rows of a conversation are numbered by (turn, role, text); rows that repeat
-    a turn stay messages of their own.
+    a turn stay messages of their own. Of each message the log has a first draft
+    (the second half of its text, then a mark), which an ``edit`` of the user's or a ``regenerate``
+    of another's discards with the first third of the text, and two deltas with the rest.
     """
-    number = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
-    return rows.select("conv_id", number.cast("long").alias("message"), F.lit(0).cast("long").alias("seq"), F.lit("delta").alias("op"), "role", "text")
+    number = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")).cast("long")
+    n = F.coalesce(F.char_length("text"), F.lit(0))
+    third, rest = F.floor(n / 3).cast("int"), F.floor(2 * n / 3).cast("int")
+    cut = lambda a, b: F.substring("text", a + 1, F.greatest(b - a, F.lit(0)))
+    again = F.when(F.col("role") == "user", "edit").otherwise("regenerate")
+    event = lambda k, op, text: F.struct((5 * F.col("message") + k).alias("seq"), op.alias("op"), text.alias("text"))
+    delta = F.lit("delta")
+    log = F.array(
+        event(0, delta, cut(rest, n)), event(1, delta, F.lit("…")), event(2, again, cut(F.lit(0), third)), event(3, delta, cut(third, rest)), event(4, delta, cut(rest, n)),
+    )
+    return rows.withColumn("message", number).select("conv_id", "message", "role", F.explode(log).alias("e")).select("conv_id", "message", "e.seq", "e.op", "role", "e.text")
 
 
 def fold(events: DataFrame) -> DataFrame:
