@@ -44,7 +44,7 @@ def _keyed(docs: DataFrame, seed: int) -> DataFrame:
     """Each row as a struct, beside its size, source and place in the seeded order."""
     return docs.select(
         F.struct(*docs.columns).alias("_row"), "doc_id", word_count(F.col("text")).alias("_size"),
-        F.coalesce("source", F.lit("")).alias("_source"), F.isnull("source").alias("_none"), seeded(seed, F.col("doc_id")).alias("_order"),
+        F.coalesce("source", F.lit("")).alias("_source"), F.isnull("source").alias("_none"), seeded(seed, F.col("doc_id"), F.md5(F.encode("text", "UTF-8"))).alias("_order"),
     )
 
 

@@ -82,7 +82,7 @@ WITH crc_table AS (
   FROM range(256) t(i)),
 rows AS (
   SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) + 8 AS size, hex(encode(coalesce(text, ''))) AS digits,
-    ('0x' || substr(md5(concat('7:', coalesce(doc_id::VARCHAR, 'null'))), 1, 15))::BIGINT AS h
+    ('0x' || substr(md5(concat('7:', coalesce(doc_id::VARCHAR, 'null'), ':', coalesce(md5(text), 'null'))), 1, 15))::BIGINT AS h
   FROM documents),
 summed AS (
   SELECT doc_id, source, size, h,
@@ -134,7 +134,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP10_SQL = r"""
 WITH rows AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-    ('0x' || substr(md5(concat('11:', coalesce(doc_id::VARCHAR, 'null'))), 1, 15))::BIGINT AS h
+    ('0x' || substr(md5(concat('11:', coalesce(doc_id::VARCHAR, 'null'), ':', coalesce(md5(text), 'null'))), 1, 15))::BIGINT AS h
   FROM documents),
 sources AS (
   SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight, row_number() OVER (ORDER BY source NULLS LAST) AS turn

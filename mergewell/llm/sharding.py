@@ -31,7 +31,7 @@ def _ranked(rows: DataFrame, key: list[str], part: str, order: list[Column | str
 def shard(docs: DataFrame, shards: int = 24, seed: int = 7) -> DataFrame:
     """Deals documents to ``shards`` shards that all match the source mixture.
 
-    Rows of a source are shuffled by a seeded hash and ranked; rank r of n gets
+    Rows of a source are shuffled by a seeded hash of id and text and ranked; rank r of n gets
     the fraction (r + 1/2) / n, so every source is spread evenly over [0, 1).
     All rows in the order of their fractions are cut into runs whose counts
     differ by one at most (law ``rows``). Returns ``doc_id, size`` (UTF-8 bytes
@@ -45,7 +45,7 @@ def shard(docs: DataFrame, shards: int = 24, seed: int = 7) -> DataFrame:
     separate rows. No rows: no rows.
     """
     text = F.coalesce("text", F.lit(""))
-    h = seeded(seed, F.col("doc_id"))
+    h = seeded(seed, F.col("doc_id"), F.md5(F.encode("text", "UTF-8")))
     rows = docs.select(
         "doc_id",
         (F.octet_length(text).cast("long") + 8).alias("size"),
