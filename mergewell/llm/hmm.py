@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -254,9 +255,31 @@ def _added(table: pa.Table) -> pa.Table:
 
 
 def _sum(blocks: DataFrame, run) -> dict[int, np.ndarray]:
-    """Counts of all partitions, added slice by slice; their size is that of the model."""
-    parts = blocks.mapInArrow(run, "slice int, counts binary").groupBy("slice").applyInArrow(_added, "slice int, counts binary")
-    return {r.slice: np.frombuffer(r.counts, np.float64) for r in parts.collect()}
+    """Counts of all partitions, added slice by slice in two steps; their size is that of the model.
+
+    The first step adds the square root of all partitions in each task, so no task reads a slice of every one.
+    """
+    tens = max(1, isqrt(blocks.rdd.getNumPartitions()))
+    parts = blocks.mapInArrow(run, "slice int, counts binary").withColumn("part", F.pmod(F.spark_partition_id(), F.lit(tens)))
+    some = parts.groupBy("slice", "part").applyInArrow(_added, "slice int, counts binary")
+    return {r.slice: np.frombuffer(r.counts, np.float64) for r in some.groupBy("slice").applyInArrow(_added, "slice int, counts binary").collect()}
+
+
+def _head(about: DataFrame, n: int) -> list:
+    """The ``n`` most frequent words (``top, held``; ties by key) from the lists of all buckets.
+
+    How many words have each count decides the least one that is needed, so only
+    the words above it and those level with it reach the last sort.
+    """
+    words = about.select(F.explode(F.arrays_zip("top", "held")).alias("x")).select("x.top", "x.held")
+    sizes = words.groupBy(F.floor(64 * F.log2("held")).alias("size")).agg(F.count("*").alias("n")).collect()  # by 1 %, so few rows
+    least, total = 0, 0
+    for r in sorted(sizes, key=lambda r: -r.size):
+        least, total = r.size, total + r.n
+        if total >= n:
+            break
+    words = words.where(F.floor(64 * F.log2("held")) >= least)
+    return words.repartition(max(1, -(-total // (4 * n))), "top").orderBy(F.desc("held"), "top").limit(n).collect()
 
 
 def clusters(pairs: np.ndarray, states: int) -> np.ndarray:
@@ -287,8 +310,7 @@ def train(blocks: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> tupl
     partitions slice by slice; only sums, as large as the model, reach the driver.
     """
     about = blocks.where("block < 0")
-    spread = about.select(F.explode(F.arrays_zip("top", "held")).alias("x")).select("x.top", "x.held")
-    top = spread.orderBy(F.desc("held"), "top").limit(HEAD).collect()
+    top = _head(about, HEAD)
     totals = about.select(F.posexplode("totals").alias("k", "n")).groupBy("k").agg(F.sum("n").alias("n")).collect()
     sums = np.zeros(2 * CLASSES, np.int64)
     for r in totals:
