@@ -52,14 +52,15 @@ def search(channel: Channel, queries: DataFrame, targets: DataFrame) -> DataFram
     return top_k(postings(queries, targets, (channel,)), (channel,)).drop("channel")
 
 
-def candidates(queries: DataFrame, targets: DataFrame, of: tuple[Channel, ...]) -> DataFrame:
+def candidates(queries: DataFrame, targets: DataFrame, of: tuple[Channel, ...], corpus: DataFrame | None = None) -> DataFrame:
     """One row for each pair that a channel proposes: ``rank_<c>`` (-1: not by c) and the exact ``cos_<c>``.
 
     Postings of all channels are written once; one join finds the best targets
     of every channel, one aggregation unites them, one join takes all
-    cosines. The plan is as large for six channels as for one.
+    cosines. The plan is as large for six channels as for one. Term weights
+    are those of the targets, or of a ``corpus`` where one is given.
     """
-    rows = written(postings(queries, targets, of))
+    rows = written(postings(queries, targets, of, corpus))
     ranks = [F.coalesce(F.max(F.when(F.col("channel") == k, F.col("rank"))), F.lit(-1)).alias(f"rank_{c.name}") for k, c in enumerate(of)]
     pairs = written(top_k(rows, of).groupBy("s1_id", "t_id").agg(*ranks))
     return dot_products(pairs, rows, of, DECIMALS)

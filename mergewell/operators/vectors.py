@@ -123,17 +123,20 @@ def weights(counts: DataFrame, records: DataFrame, channels: tuple[Channel, ...]
     return df.join(sizes, "ckey").select("ckey", "source", "term", uses.alias("uses")).where(F.size("uses") > 0)
 
 
-def postings(queries: DataFrame, targets: DataFrame, channels: tuple[Channel, ...]) -> DataFrame:
+def postings(queries: DataFrame, targets: DataFrame, channels: tuple[Channel, ...], corpus: DataFrame | None = None) -> DataFrame:
     """``entity_id, ckey, is_target, searchable, channel, block, term, splits, w`` of all records and channels.
 
     w = (1 + ln tf) idf, each block of length sqrt(its weight), the whole of
     length 1. ``channel`` is the number of the channel; the plan is one chain,
     however many there are. Both norms are taken in the records' partitions.
+    Term weights are those of ``targets``, or of a ``corpus`` where one is given.
     """
     columns = ["entity_id", "ckey", *sorted({x for c in channels for f in c.fields for x in (f.column, f.other) if x} | {"has_addr" if c.pool == "no_addr" else c.pool for c in channels if c.pool})]
     records = queries.select(*columns, F.lit(False).alias("is_target")).unionByName(targets.select(*columns, F.lit(True).alias("is_target")))
     counts = counted(records, channels)
-    rows = counts.join(weights(counts, records, channels), ["ckey", "source", "term"])
+    known = records if corpus is None else corpus.select(*columns, F.lit(True).alias("is_target"))
+    idf = weights(counts if corpus is None else counted(known, channels), known, channels)
+    rows = counts.join(idf, ["ckey", "source", "term"])
     rows = rows.select("entity_id", "ckey", "is_target", "pools", "term", (1 + F.ln("tf")).alias("_tf"), F.explode("uses").alias("u"))
     rows = rows.select("entity_id", "ckey", "is_target", "pools", "u.channel", "u.block", "term", "u.splits", "u.share", (F.col("_tf") * F.col("u.idf")).alias("x"))
     pools = _pools(channels)

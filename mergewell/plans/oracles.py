@@ -311,6 +311,7 @@ def sql() -> dict[str, str]:
         "threshold": f"{CANDIDATES} SELECT s1_id, t_id, p FROM scores WHERE p >= 0.5::DOUBLE",
         "expected_f": f"{CANDIDATES}, e AS (SELECT *, row_number() OVER d AS k, sum(p) OVER d AS cum, sum(p) OVER (PARTITION BY s1_id) AS total, exp(sum(ln(greatest(least(1 - p, 1), 1e-9::DOUBLE))) OVER (PARTITION BY s1_id)) AS empty FROM ({EXCLUSIVE}) WHERE p >= 0.02::DOUBLE WINDOW d AS (PARTITION BY s1_id ORDER BY p DESC, t_id ROWS UNBOUNDED PRECEDING)), f AS (SELECT *, 1.25::DOUBLE * cum / (0.25::DOUBLE * total + k) AS ef FROM e), g AS (SELECT *, max(ef) OVER (PARTITION BY s1_id) AS best FROM f), h AS (SELECT *, min(CASE WHEN ef = best THEN k END) OVER (PARTITION BY s1_id) AS take FROM g) SELECT s1_id, t_id, p FROM h WHERE best > empty AND k <= take",
         "threshold_grid": f"{CANDIDATES}, x AS (SELECT *, row_number() OVER (PARTITION BY t_id ORDER BY p DESC, s1_id) = 1 AS first FROM scores), grid AS (SELECT s1_id, e AS exclusive, (t / 100.0)::DOUBLE AS tau FROM ids, unnest([false, true]) a(e), unnest([20, 40, 60, 80]) b(t)), n AS (SELECT s1_id, count(DISTINCT t_id) AS n_true FROM truth GROUP BY 1), c AS (SELECT g.s1_id, g.exclusive, g.tau, count(x.t_id) AS n_pred, coalesce(sum(x.label), 0) AS tp, coalesce(max(n_true), 0) AS n_true FROM grid g LEFT JOIN x ON x.s1_id = g.s1_id AND x.p >= g.tau AND (NOT g.exclusive OR x.first) LEFT JOIN n ON n.s1_id = g.s1_id GROUP BY 1, 2, 3) SELECT exclusive, tau, round(avg({F_HALF}), 9) AS macro_f FROM c GROUP BY 1, 2",
+        "expected_f_grid": f"{CANDIDATES}, e AS (SELECT s1_id, t_id, p, m, row_number() OVER d AS k, sum(p) OVER d AS cum, sum(p) OVER (PARTITION BY s1_id, m) AS total, exp(sum(ln(greatest(least(1 - p, 1), 1e-9::DOUBLE))) OVER (PARTITION BY s1_id, m)) / (1 + m) AS empty FROM ({EXCLUSIVE}), unnest([0.0, 0.05, 0.1, 0.2, 0.3]::DOUBLE[]) u(m) WHERE p >= 0.02::DOUBLE WINDOW d AS (PARTITION BY s1_id, m ORDER BY p DESC, t_id ROWS UNBOUNDED PRECEDING)), f AS (SELECT *, 1.25::DOUBLE * cum / (0.25::DOUBLE * (total + m) + k) AS ef FROM e), g AS (SELECT *, max(ef) OVER (PARTITION BY s1_id, m) AS best FROM f), h AS (SELECT *, min(CASE WHEN ef = best THEN k END) OVER (PARTITION BY s1_id, m) AS take FROM g), chosen AS (SELECT s1_id, t_id, m FROM h WHERE best > empty AND k <= take), n AS (SELECT s1_id, count(DISTINCT t_id) AS n_true FROM truth GROUP BY 1), c AS (SELECT ids.s1_id, u.m, count(x.t_id) AS n_pred, count(l.t_id) AS tp, coalesce(max(n_true), 0) AS n_true FROM ids CROSS JOIN unnest([0.0, 0.05, 0.1, 0.2, 0.3]::DOUBLE[]) u(m) LEFT JOIN chosen x ON x.s1_id = ids.s1_id AND x.m = u.m LEFT JOIN (SELECT DISTINCT * FROM truth) l ON l.s1_id = x.s1_id AND l.t_id = x.t_id LEFT JOIN n ON n.s1_id = ids.s1_id GROUP BY 1, 2) SELECT m AS missed, round(avg({F_HALF}), 9) AS macro_f FROM c GROUP BY 1",
         "per_entity_f": f"{CANDIDATES}{PER_ENTITY} SELECT s1_id, tp, n_pred, n_true, f FROM entity",
         "summary": f"{CANDIDATES}{PER_ENTITY}, s AS (SELECT {SUMMARY} FROM entity) SELECT round(macro_f, 9) AS macro_f, micro_precision, micro_recall, singleton_accuracy, n_s1 FROM s",
         "country_report": f"{CANDIDATES}{PER_ENTITY}, s AS (SELECT 'ALL' AS ckey, {SUMMARY} FROM entity UNION ALL SELECT ckey, {SUMMARY} FROM entity GROUP BY ckey) SELECT ckey, round(macro_f, 9) AS macro_f, micro_precision, micro_recall, singleton_accuracy, n_s1 FROM s",

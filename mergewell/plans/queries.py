@@ -192,6 +192,7 @@ def queries() -> dict[str, Query]:
         "threshold": lambda c: decision.above(c.scores.drop("label"), 0.5),
         "expected_f": lambda c: decision.expected_f(decision.exclusive(c.scores.drop("label"))),
         "threshold_grid": _grid,
+        "expected_f_grid": lambda c: _rounded(decision.expected_f_grid(c.ids, c.scores.drop("label"), c.truth)),
         "per_entity_f": lambda c: c.per_entity,
         "summary": lambda c: _rounded(decision.summary(c.per_entity)),
         "country_report": lambda c: _rounded(decision.report(c.per_entity.join(c.ids, "s1_id"))),
