@@ -24,8 +24,8 @@ YOUNGER = (
 #: The lower case of capitals of Unicode 16 and 17, which Python may not know yet.
 LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
 LOWER |= {c: c + 32 for c in range(0x10D50, 0x10D66)} | {c: c + 27 for c in range(0x16EA0, 0x16EB9)}
-#: Words, and chunks of them, that a worker remembers before it starts again, and characters of the longest one.
-CACHE_WORDS, CACHE_CHARS = 300_000, 64
+#: Words, and as many chunks, that a worker remembers, and characters of the longest one.
+CACHE_WORDS, CACHE_CHARS = 400_000, 64
 #: Documents and characters of one output batch.
 BATCH_ROWS, BATCH_CHARS = 512, 4_000_000
 
@@ -37,6 +37,24 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in set(own) else chr(next(rest)) for b in range(256)]
 
 
+class Recent(dict):
+    """What was learned lately: at half of ``CACHE_WORDS`` entries it begins anew and moves back what is asked for again."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.older: dict[str, list[int]] = {}
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """The keys that are in neither half; the others are at hand from now on."""
+        if len(self) > CACHE_WORDS // 2:
+            self.older = dict(self)
+            self.clear()
+        keys = keys.difference(self)
+        again = keys.intersection(self.older)
+        self.update((k, self.older[k]) for k in again)
+        return keys - again
+
+
 class Bpe:
     """The tokenizer of a ``tokenizers`` JSON file with word-end BPE.
 
@@ -84,8 +102,7 @@ class Bpe:
         self.born[made[::-1]] = np.arange(never)[::-1]
         self.left, self.right = np.arange(n), np.arange(n)
         self.left[made[::-1]], self.right[made[::-1]] = left[::-1], right[::-1]
-        self.cache: dict[str, list[int]] = {}
-        self.chunks: dict[str, list[int]] = {}
+        self.cache, self.chunks = Recent(), Recent()
         #: Only tokens that merging gives back are proposed.
         usable = {i for i in range(n) if self._rebuilt(i)}
         self.inner = {t: i for t, i in self.inner.items() if i in usable}
@@ -225,13 +242,9 @@ class Bpe:
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text. Words and chunks that are new are encoded once."""
         split = [self.split(t) for t in texts]
-        if max(len(self.cache), len(self.chunks)) > CACHE_WORDS:
-            self.cache.clear()
-            self.chunks.clear()
         known = self.chunks
-        new = set().union(*split).difference(known)
-        parts = {c: [c] if c[0] == " " else self.pieces(c) for c in new}
-        words = {w for c, ws in parts.items() if c[0] != " " for w in ws}.difference(self.cache)
+        parts = {c: [c] if c[0] == " " else self.pieces(c) for c in known.missing(set().union(*split))}
+        words = self.cache.missing({w for c, ws in parts.items() if c[0] != " " for w in ws})
         short, rare = [w for w in words if len(w) <= CACHE_CHARS], dict[str, list[int]]()
         self.learn(short, self.cache)
         self.learn([w for w in words if len(w) > CACHE_CHARS], rare)
