@@ -4,19 +4,25 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def written(df: DataFrame) -> DataFrame:
-    """A copy of ``df`` in the session's checkpoint folder: its plan is one scan, and lost executors lose nothing.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder: ``spark.checkpoint.dir``, which all executors share.
 
-    The folder is ``spark.checkpoint.dir``. Only a local master may do without it
-    and gets a temporary one; on a cluster no executor could read that.
+    Only a local master may do without it and gets a temporary one; on a cluster
+    no executor could read that.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         folder = sc.getConf().get("spark.checkpoint.dir")
         if folder is None and not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """A copy of ``df`` in the checkpoint folder: its plan is one scan, and lost executors lose nothing."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

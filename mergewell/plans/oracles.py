@@ -290,6 +290,19 @@ def sql() -> dict[str, str]:
         "shared_targets": f"{RECORDS}, c AS (SELECT t_id, count(DISTINCT s1_id) AS holders FROM truth GROUP BY 1) SELECT holders, count(*) AS n FROM c GROUP BY 1",
         "tfidf_postings": f"{CANDIDATES} SELECT entity_id, block, term, round(w, 6) AS w FROM v_both",
         "document_frequency": f"{CANDIDATES} SELECT ckey, term, round(idf, 9) AS idf FROM idf_addr",
+        "source_files": f"{RECORDS} SELECT entity_id, nullif(business_name, '') AS business_name, nullif(business_address, '') AS business_address, nullif(country, '') AS country FROM raw",
+        "truth_files": f"{RECORDS} SELECT DISTINCT s1_id, t_id FROM truth",
+        "file_lines": f"{RECORDS} SELECT count(*) AS n FROM queries",
+        "dev_slice": f"{RECORDS}, q AS (SELECT entity_id FROM queries WHERE {_id_hash(1)} % 1000000 < 300000) SELECT entity_id FROM q UNION ALL SELECT entity_id FROM targets WHERE CASE WHEN entity_id LIKE 'S2-%' THEN {_id_hash(2)} ELSE {_id_hash(3)} END % 1000000 < 200000 OR entity_id IN (SELECT t_id FROM truth WHERE s1_id IN (SELECT entity_id FROM q))",
+        "tables_together": f"{RECORDS} SELECT entity_id, ckey, name_core FROM targets",
+        "query_range": f"{CANDIDATES} SELECT s1_id, t_id, cos_both FROM pairs WHERE s1_id >= 'S1-1' AND s1_id < 'S1-2'",
+        "candidate_faults": "SELECT * FROM (VALUES ('good', true), ('column', false), ('repeated', false), ('rank', false), ('key', false)) t(\"case\", valid)",
+        "candidate_report": f"{CANDIDATES}, w AS (SELECT p.*, ids.ckey, label, row_number() OVER (PARTITION BY s1_id ORDER BY s.p DESC, t_id) AS place FROM pairs p JOIN ids USING (s1_id) JOIN scores s USING (s1_id, t_id) QUALIFY place <= 60), u AS (SELECT ckey, s1_id, label, 'union' AS what FROM w "
+        + " ".join(f"UNION ALL SELECT ckey, s1_id, label, '{n}' FROM w WHERE rank_{n} >= 0" for n in NAMES)
+        + " ".join(f" UNION ALL SELECT ckey, s1_id, label, 'top {n}' FROM w WHERE place <= {n}" for n in (1, 5, 20))
+        + "), e AS (SELECT ckey, what, s1_id, count(*) AS n, sum(label) AS hits FROM u GROUP BY ALL), n AS (SELECT ckey, count(*) AS true_pairs FROM (SELECT DISTINCT * FROM truth) JOIN ids USING (s1_id) GROUP BY 1) SELECT e.ckey, what, coalesce(max(true_pairs), 0) AS true_pairs, sum(hits)::BIGINT AS hits, sum(hits)::DOUBLE / max(true_pairs) AS recall, sum(n)::BIGINT AS candidates, avg(n) AS avg_per_query, quantile_disc(n, 0.95)::BIGINT AS p95, quantile_disc(n, 0.99)::BIGINT AS p99 FROM e LEFT JOIN n USING (ckey) GROUP BY 1, 2",
+        "feature_means": f"{CANDIDATES}, {scored}, f AS (SELECT label, cos_both, {' + '.join(f'(x.rank_{c} >= 0)::INT' for c in NAMES)} AS k, count(*) OVER q AS qn, least(rank() OVER (PARTITION BY x.t_id ORDER BY cos_both DESC), 9) AS r, CASE WHEN cos_both >= max(cos_both) OVER t THEN cos_both - coalesce(max(CASE WHEN place = 2 THEN cos_both END) OVER t, 0) ELSE cos_both - max(cos_both) OVER t END AS m FROM scored x JOIN (SELECT s1_id, t_id, label FROM labeled) USING (s1_id, t_id) WINDOW q AS (PARTITION BY x.s1_id), t AS (PARTITION BY x.t_id)) SELECT label, count(*) AS n, round(count(*)::DOUBLE / (SELECT count(*) FROM f), 9) AS share, round(avg(cos_both), 9) AS cos_both, round(avg(k), 9) AS s0_n_channels, round(avg(qn), 9) AS q_n_cands, round(avg(r), 9) AS t_rank_cos_both, round(avg(m), 9) AS t_margin_cos_both FROM f GROUP BY label",
+        "error_examples": f"{CANDIDATES}{MATCHED} SELECT m.s1_id, m.t_id, p, a.business_name AS q_name, a.business_address AS q_address, b.business_name AS t_name, b.business_address AS t_address FROM matched m JOIN queries a ON a.entity_id = s1_id JOIN targets b ON b.entity_id = t_id WHERE (s1_id, t_id) NOT IN (SELECT (s1_id, t_id) FROM truth)",
         "candidate_union": f"{CANDIDATES} SELECT * FROM pairs",
         "pair_cosines": f"{CANDIDATES} SELECT t.s1_id, t.t_id, coalesce(score, 0) AS cos FROM (SELECT DISTINCT * FROM truth) t LEFT JOIN dot_name USING (s1_id, t_id)",
         "candidate_recall": f"{CANDIDATES}, n AS (SELECT s1_id, count(*) AS n FROM pairs GROUP BY 1) SELECT (SELECT count(*) FROM (SELECT DISTINCT * FROM truth)) AS true_pairs, (SELECT sum(label)::BIGINT FROM labeled) AS hits, sum(n)::BIGINT AS candidates, avg(n) AS avg_per_query, quantile_disc(n, 0.95)::BIGINT AS p95, quantile_disc(n, 0.99)::BIGINT AS p99, (SELECT sum(label)::DOUBLE FROM labeled) / (SELECT count(*) FROM (SELECT DISTINCT * FROM truth)) AS recall FROM n",

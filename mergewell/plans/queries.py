@@ -12,6 +12,7 @@ from mergewell.functions.hashing import fold, id_hash, sampled
 from mergewell.functions.normalize import name_frequency
 from mergewell.operators import decision, features, learning, retrieval, validate, vectors
 from mergewell.operators.lineage import written
+from mergewell.plans import files, reports, stages
 from mergewell.plans import records as R
 from mergewell.sources import tables
 
@@ -158,6 +159,27 @@ def _validated(c: Case) -> DataFrame:
     return validate.problems(faulty(matches), faulty(lists), c.ids, c.targets.select(F.col("entity_id").alias("t_id")))
 
 
+def _report(c: Case) -> DataFrame:
+    pruned = learning.prune(c.labeled.drop("label").withColumn("score0", F.round(0.6 * F.col("cos_both") + 0.4 * F.col("cos_addr"), 6)), 60)
+    return reports.candidate_report(pruned, c.truth, c.ids, tuple(CHANNELS), (1, 5, 20))
+
+
+def _means(c: Case) -> DataFrame:
+    rows = reports.feature_report(features.context(features.stage0(c.labeled)), ["cos_both", "s0_n_channels", "q_n_cands", "t_rank_cos_both", "t_margin_cos_both"])
+    return rows.select("label", "n", *(F.round(x, 9).alias(x) for x in rows.columns[2:]))
+
+
+def _faults(c: Case) -> DataFrame:
+    """What the check of a candidate table says of a good one, and of ones with each fault."""
+    of = tuple(CHANNELS.values())
+    made = {
+        "good": c.pairs, "column": c.pairs.drop("cos_addr"), "repeated": c.pairs.unionByName(c.pairs.orderBy("s1_id", "t_id").limit(1)),
+        "rank": c.pairs.withColumn("rank_addr", F.lit(40)), "key": c.pairs.withColumn("t_id", F.lit(None).cast("string")),
+    }
+    found = [(name, stages.candidate_faults(df, of) == "") for name, df in made.items()]
+    return c.spark.createDataFrame(found, "case string, valid boolean")
+
+
 def queries() -> dict[str, Query]:
     out = {
         "normalize_records": lambda c: c.records.withColumn("addr_nums", F.array_join("addr_nums", ",")),
@@ -172,7 +194,17 @@ def queries() -> dict[str, Query]:
         "shared_targets": lambda c: c.truth.distinct().groupBy("t_id").agg(F.count("*").alias("holders")).groupBy("holders").agg(F.count("*").alias("n")),
         "tfidf_postings": _postings,
         "document_frequency": _idf,
+        "source_files": lambda c: files.sources(R.raw(c.spark, c.sf_dir)),
+        "truth_files": lambda c: files.lists(c.ids, c.truth),
+        "file_lines": lambda c: files.line_count(c.ids, c.truth),
+        "dev_slice": lambda c: files.slice_of(c.records, c.truth),
+        "tables_together": lambda c: files.together([c.targets.where("entity_id like 'S2-%'"), c.targets.where("entity_id like 'S3-%'")]).select("entity_id", "ckey", "name_core"),
         "candidate_union": lambda c: c.pairs,
+        "query_range": lambda c: files.ranged(c.pairs.select("s1_id", "t_id", "cos_both"), "S1-1", "S1-2"),
+        "candidate_faults": _faults,
+        "candidate_report": _report,
+        "feature_means": _means,
+        "error_examples": lambda c: reports.examples(c.matched.join(c.truth, ["s1_id", "t_id"], "left_anti"), c.queries, c.targets),
         "pair_cosines": _cosines,
         "candidate_recall": lambda c: retrieval.recall(c.pairs, c.truth),
         "recall_by_channel": lambda c: retrieval.recall_by_channel(c.labeled.drop("label"), c.truth, tuple(CHANNELS)),

@@ -10,14 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mergewell.functions.hashing import sampled
 from mergewell.functions.normalize import normalize_records, with_name_frequency
 from mergewell.operators import decision, features, learning, retrieval, validate
 from mergewell.operators.vectors import Channel, dot_products, postings
-from mergewell.plans import manifests
+from mergewell.plans import manifests, reports
 from mergewell.plans.settings import DEPENDS, Settings, stage_hashes
 from mergewell.sources import storage, tables
 
@@ -124,25 +124,7 @@ def candidates(run: Run) -> None:
 
 
 def candidate_report(run: Run, which: str = "candidates", cutoffs: tuple[int, ...] = (10, 20, 40, 60)) -> DataFrame:
-    """``ckey, what, true_pairs, hits, recall, candidates, avg_per_query, p95, p99`` on the training split.
-
-    One row for the union, for each channel, and for the best pairs of each
-    query by ``score0`` at each cut-off where the table has that score.
-    """
-    pairs, truth = run.table(which, "train").join(run.ids("train"), "s1_id"), run.truth().join(run.ids("train"), "s1_id")
-    whats = {"union": F.lit(True), **{c.name: F.col(f"rank_{c.name}") >= 0 for c in run.settings.channels}}
-    if "score0" in pairs.columns:
-        pairs = pairs.withColumn("_place", F.row_number().over(Window.partitionBy("s1_id").orderBy(F.desc("score0"), "t_id")))
-        whats |= {f"top {n}": F.col("_place") <= n for n in cutoffs}
-    marked = pairs.join(truth.select("s1_id", "t_id", F.lit(1).alias("_true")), ["s1_id", "t_id"], "left")
-    what = F.explode(F.filter(F.array(*(F.when(rule, F.lit(name)) for name, rule in whats.items())), lambda x: x.isNotNull()))
-    each = marked.select("ckey", "s1_id", "_true", what.alias("what")).groupBy("ckey", "what", "s1_id").agg(F.count("*").alias("n"), F.count("_true").alias("hits"))
-    sums = each.groupBy("ckey", "what").agg(
-        F.sum("hits").alias("hits"), F.sum("n").alias("candidates"), F.avg("n").alias("avg_per_query"),
-        F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY n)").cast("long").alias("p95"), F.expr("percentile_disc(0.99) WITHIN GROUP (ORDER BY n)").cast("long").alias("p99"),
-    )
-    n_true = truth.groupBy("ckey").agg(F.count("*").alias("true_pairs"))
-    return sums.join(n_true, "ckey", "left").select("ckey", "what", F.coalesce("true_pairs", F.lit(0)).alias("true_pairs"), "hits", (F.col("hits") / F.col("true_pairs")).alias("recall"), "candidates", "avg_per_query", "p95", "p99")
+    return reports.candidate_report(run.table(which, "train"), run.truth(), run.ids("train"), tuple(c.name for c in run.settings.channels), cutoffs)
 
 
 def prune(run: Run) -> None:
@@ -171,12 +153,8 @@ def make_features(run: Run) -> None:
 
 
 def feature_report(run: Run) -> DataFrame:
-    """``label, n, share`` and the mean of each feature, to see at a glance what tells."""
     rows = run.table("features", "train")
-    columns = learning.feature_columns(rows)
-    sums = rows.groupBy("label").agg(F.count("*").alias("n"), *(F.avg(c).alias(c) for c in columns))
-    total = rows.count()
-    return sums.select("label", "n", (F.col("n") / F.lit(max(total, 1))).alias("share"), *columns)
+    return reports.feature_report(rows, learning.feature_columns(rows))
 
 
 def _cross_validated(run: Run, stage: str, frame: DataFrame, score: str) -> None:

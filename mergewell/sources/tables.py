@@ -59,7 +59,9 @@ def id_lists(ids: DataFrame, pairs: DataFrame, header: tuple[str, str] = TRUTH)
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, sep="\t", header=True, quote="", emptyValue="", nullValue="", lineSep="\n")
+    """Values as they are: without quoting, blanks at their ends kept; null as nothing."""
+    whole = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").csv(path, sep="\t", header=True, quote="", emptyValue="", nullValue="", lineSep="\n", **whole)
 
 
 def write_report(df: DataFrame, path: str) -> None:
