@@ -6,7 +6,6 @@ written as Parquet and read again.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from mergewell.llm import bpe, dedup, jaccard, mixing, quality
-from mergewell.llm.common import checkpointed
+from mergewell.llm.common import checkpointed, shared_folder
 from mergewell.llm.queries import tokenizer_file
 
 
@@ -84,7 +83,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='pipeline')}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")

@@ -15,15 +15,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts the lineage of ``df`` with a copy that survives lost executors.
-
-    The folder is the cluster's ``spark.checkpoint.dir``; only where that is
-    unset, as in tests on one machine, a temporary folder stands in.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; only a local master may do without one and gets a temporary folder."""
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if folder is None and sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cuts the lineage of ``df`` with a copy in the shared folder, which survives lost executors."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
