@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mergewell.llm.common import checkpointed
-from mergewell.llm.packing import bounds, bucket_count, pack, squeeze, unpack, unsqueeze, word_keys
+from mergewell.llm.packing import aside, bounds, bucket_count, pack, squeeze, unpack, unsqueeze, word_keys
 from mergewell.llm.suffixes import ragged
 
 #: Hidden states, words with emissions of their own, and classes of all other words.
@@ -62,7 +62,7 @@ def _tokenized(buckets: int, kind: pa.DataType):
         full = [b for b in range(buckets) if cut[b] < cut[b + 1]]
         none = [None] * len(full)
         return pa.RecordBatch.from_arrays([
-            pa.array([*full, -1 - number % buckets], pa.int32()), pa.array([number] * (len(full) + 1), pa.int64()),
+            pa.array([*full, aside(number)], pa.int32()), pa.array([number] * (len(full) + 1), pa.int64()),
             pa.array([*none, ids], pa.list_(kind)), pa.array([*none, size.astype(np.uint32).tobytes()], pa.binary()), pa.array([*none, train.tobytes()], pa.binary()), pa.array([*none, int(train.sum())], pa.int64()),
             pa.array([*none, squeeze(token.astype(np.uint32))], pa.binary()),
             pa.array([*(pack(every[cut[b] : cut[b + 1]]) for b in full), None], pa.binary()), pa.array([*(counts[cut[b] : cut[b + 1]].tobytes() for b in full), None], pa.binary()),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import zlib
 from contextlib import suppress
 
 import numpy as np
@@ -79,6 +80,16 @@ def bounds(buckets: int) -> np.ndarray:
     return np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
 
 
+def aside(block: int) -> int:
+    """The bucket below 0 that takes a block's own row past the buckets of keys.
+
+    Block numbers are a partition's number in the high bits and a small one in the
+    low bits; a hash spreads them over the tasks, where a remainder would put most
+    into a few.
+    """
+    return -1 - (zlib.crc32(block.to_bytes(8, "little")) >> 1)
+
+
 def bucket_count(docs: DataFrame, bytes_each: int) -> int:
     """Buckets by the size that the plan states; by its partitions where it states none."""
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
