@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from mergewell.llm.common import checkpointed
 from mergewell.llm.components import components
-from mergewell.llm.packing import bounds, bucket_count, mixed, pack, squeeze, tidy, unpack, unsqueeze, word_keys
+from mergewell.llm.packing import aside, bounds, bucket_count, mixed, pack, squeeze, tidy, unpack, unsqueeze, word_keys
 
 WORDS = 5
 #: Text of one block of documents, and plan bytes for one bucket of shingles.
@@ -97,7 +97,7 @@ def _deal(buckets: int, kind: pa.DataType):
         with pa.ipc.new_stream(sink, named.schema) as out:
             out.write_batch(named)
         often = counts > HOT
-        for c, x in zip(_MESSAGE.names, (-1 - number % buckets, number, pack(keys[often]), counts[often].astype(np.uint32).tobytes(), owner[hot].astype(np.uint32).tobytes(), sink.getvalue().to_pybytes()), strict=True):
+        for c, x in zip(_MESSAGE.names, (aside(number), number, pack(keys[often]), counts[often].astype(np.uint32).tobytes(), owner[hot].astype(np.uint32).tobytes(), sink.getvalue().to_pybytes()), strict=True):
             rows[c].append(x)
         tidy()
         return pa.RecordBatch.from_pydict(rows, _MESSAGE)
