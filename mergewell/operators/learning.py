@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from mergewell.functions.hashing import fold, sampled
 from mergewell.operators.features import stage0
-from mergewell.operators.lineage import written
+from mergewell.operators.lineage import stored
 from mergewell.sources import storage
 
 #: Columns that identify a row or say the answer.
@@ -30,19 +30,22 @@ def assembled(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def train(
-    df: DataFrame, columns: list[str], rounds: int = 20, depth: int = 5, rate: float = 0.1, stop_salt: int | None = None, stop_share: float = 0.08, seed: int = 42, least_rows: int = 1,
+    df: DataFrame, columns: list[str], rounds: int = 20, depth: int = 5, rate: float = 0.1, stop_salt: int | None = None, stop_share: float = 0.08, seed: int = 42, least_rows: int = 1, is_stored: bool = False,
 ) -> GBTClassificationModel:
     """Boosted trees; with ``stop_salt`` a share of entities decides when to stop.
 
-    Rows are written as vectors once, since every tree reads them again. Without
-    a row for the decision, all rounds are run.
+    Rows are read a few times, until they are binned, so a plan is stored once;
+    ``is_stored`` says that ``df`` is a plain scan already. Without a row for
+    the decision, all rounds are run.
     """
     keep = ["_features", "_y"]
+    if not is_stored:
+        df = stored(df.select(*dict.fromkeys(["label", *(["s1_id"] if stop_salt is not None else []), *columns])))
     rows = assembled(df.withColumn("_y", F.col("label").cast("double")), columns)
     gbt = GBTClassifier(featuresCol="_features", labelCol="_y", maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed, minInstancesPerNode=least_rows)
     if stop_salt is not None:
         rows, keep = rows.withColumn("_stop", F.coalesce(sampled(F.col("s1_id"), stop_share, stop_salt), F.lit(False))), [*keep, "_stop"]
-    rows = written(rows.select(*keep))
+    rows = rows.select(*keep)
     if stop_salt is not None and rows.select("_stop").distinct().count() == 2:
         gbt = gbt.setValidationIndicatorCol("_stop")
     return gbt.fit(rows)
@@ -72,11 +75,12 @@ def out_of_fold(df: DataFrame, columns: list[str], out: str, folds: int = 5, sha
     """Every row scored by the model that has not seen its entity, and the models.
 
     Model k learns from the other folds, or a share of their entities; another
-    8 % of those (salt 100 + k) decide when to stop.
+    8 % of those (salt 100 + k) decide when to stop. All models read one copy
+    of the rows.
     """
-    rows = df.withColumn("_fold", F.coalesce(fold(F.col("s1_id"), folds), F.lit(0)))
+    rows = stored(df.withColumn("_fold", F.coalesce(fold(F.col("s1_id"), folds), F.lit(0))))
     seen = rows.where(F.coalesce(sampled(F.col("s1_id"), share, salt), F.lit(True)))
-    models = [train(seen.where(F.col("_fold") != k), columns, stop_salt=100 + k, **options) for k in range(folds)]
+    models = [train(seen.where(F.col("_fold") != k), columns, stop_salt=100 + k, is_stored=True, **options) for k in range(folds)]
     parts = [scored(m, rows.where(F.col("_fold") == k), columns, out) for k, m in enumerate(models)]
     return reduce(DataFrame.unionByName, parts).drop("_fold"), models
 

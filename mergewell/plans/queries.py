@@ -140,7 +140,7 @@ def _pruned(c: Case) -> DataFrame:
 
 def _trained(c: Case) -> DataFrame:
     """Scores of pairs by models that have not seen their query, from all features."""
-    rows = written(features.context(features.pair_features(features.stage0(c.labeled), c.queries, c.targets)))
+    rows = features.context(features.pair_features(features.stage0(c.labeled), c.queries, c.targets))
     out, _ = learning.out_of_fold(rows, learning.feature_columns(rows), "p1", folds=5, rounds=20, depth=5)
     return out.select("s1_id", "t_id", "label", "p1")
 
