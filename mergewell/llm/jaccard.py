@@ -228,6 +228,50 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     return checkpointed(labels.join(found, "label", "left").select("set", "group", F.coalesce("_top", "label").alias("label")))
 
 
+def _departures(rest: DataFrame) -> DataFrame:
+    """Sets ``main, set, label, n, unique, shared`` by where they depart from what most sets of their ``main`` have.
+
+    A departure is a shingle that only the set or only most others have. Sets
+    differ in the departures that they do not share, and link if 7 times those
+    are at most both sizes: 14 * common departures >= far_a + far_b, where
+    ``far`` is 7 * departures - n. ``apart`` are those that other sets of the
+    main have too, the rarest first. This holds for whatever is taken as
+    common; the better it fits, the fewer departures there are to share.
+    """
+    held = rest.select("main", F.explode("shared").alias("token")).groupBy("main", "token").agg(F.count("*").alias("_held"))
+    common = held.join(rest.groupBy("main").agg(F.count("*").alias("_of")), "main").where("2 * _held > _of").groupBy("main").agg(F.collect_list("token").alias("_common"))
+    rows = rest.join(common, "main", "left").withColumn("_common", F.coalesce("_common", F.array().cast("array<bigint>")))
+    rows = rows.withColumn("_apart", F.concat(F.array_except("shared", "_common"), F.array_except("_common", "shared")))
+    rows = checkpointed(rows.select("main", "set", "label", "n", (7 * (F.size("_apart") + F.col("unique")) - F.col("n")).alias("far"), "_apart"))
+    each = rows.select("main", "set", F.explode("_apart").alias("token"))
+    again = each.groupBy("main", "token").agg(F.count("*").alias("_held")).where("_held > 1")
+    lists = each.join(again, ["main", "token"]).groupBy("main", "set").agg(F.sort_array(F.collect_list(F.struct("_held", "token"))).alias("_apart"))
+    rows = rows.drop("_apart").join(lists, ["main", "set"], "left")
+    return rows.select("main", "set", "label", "n", "far", F.coalesce(F.col("_apart.token"), F.array().cast("array<bigint>")).alias("apart"))
+
+
+def _to_nearest(rest: DataFrame) -> DataFrame:
+    """Each set with the one of its main that departs least: sets that link without a common departure both link with that."""
+    nearest = rest.groupBy("main").agg(F.min(F.struct("far", "set", "label")).alias("_c")).select("main", F.col("_c.set").alias("b"), F.col("_c.label").alias("label_b"))
+    return rest.join(nearest, "main").where("label <> label_b").select(F.col("set").alias("a"), "b", F.col("label").alias("label_a"), "label_b").distinct()
+
+
+def _by_departures(rest: DataFrame) -> DataFrame:
+    """Pairs of sets of a main in different components that share a departure of both prefixes, and may share enough."""
+    labels = rest.groupBy("main", "label").agg(F.count("*").alias("_size")).groupBy("main").agg(F.max(F.struct("_size", "label")).alias("_m"), F.count("*").alias("_labels"))
+    least = rest.groupBy("main").agg(F.min("far").alias("_low")).join(labels.where("_labels > 1"), "main").select("main", "_low", F.col("_m.label").alias("most"))
+    needs = F.greatest(F.ceil((F.col("far") + F.col("_low")) / 14), F.lit(1)).cast("int")
+    rows = rest.join(least, "main").withColumn("size", F.size("apart")).withColumn("prefix", F.slice("apart", 1, F.greatest(F.col("size") - needs + 1, F.lit(0))))
+    rows = checkpointed(rows.drop("_low", "apart"))
+    sides = [rows.select("main", *(F.col(c).alias(f"{c}_{s}") for c in ("set", "label", "n", "far", "size", "prefix", "most")), F.posexplode("prefix").alias(f"at_{s}", "token")) for s in "ab"]
+    # what is left of both lists from there on must do
+    enough = "14 * least(size_a - at_a, size_b - at_b) >= far_a + far_b and 4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)"
+    # a pair counts under the first departure of both prefixes alone
+    first = "element_at(array_intersect(prefix_a, prefix_b), 1) = token"
+    pairs = sides[0].where("label_a <> most_a").join(sides[1], ["main", "token"]).where(f"label_a <> label_b and (label_b = most_a or label_a < label_b) and {enough} and {first}")
+    return pairs.select(F.col("set_a").alias("a"), F.col("set_b").alias("b"), "label_a", "label_b").distinct()
+
+
 _CAN_LINK = "4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b) and least(n_a - at_a, n_b - at_b) >= (3 * (n_a + n_b) + 6) div 7"
 
 
@@ -248,10 +292,12 @@ def link(docs: DataFrame) -> DataFrame:
        members of a group with one of them. Pairs are left out that sizes or
        the positions of the shingle exclude, the rest are verified. Thus large
        sets of near copies become one component with few comparisons.
-    4. What may still be missing is exact: groups and members that share a
-       prefix shingle but no component are paired, expanded and verified.
-       Pairs within a component are never listed, and no link between
-       components is lost.
+    4. What may still be missing is exact: sets that share a prefix shingle
+       but no component are described by where they depart from what most of
+       them have. Each is compared with the one that departs least, and those
+       that still differ in their components by a join on prefixes of their
+       departures. Pairs within a component are never listed, and no link
+       between components is lost.
 
     Null or empty text, or text of white space: 0 shingles, its own component.
     Null doc_id: takes part, never names a component with other ids. Rows that
@@ -286,23 +332,19 @@ def link(docs: DataFrame) -> DataFrame:
     pairs = heads.unionByName(inside).select("a", "b", F.col("a").alias("label_a"), F.col("b").alias("label_b"))
     labels = _relabelled(labels, checkpointed(_verified(pairs, sets)))
 
-    # long lists, and groups of several members: by component, the largest of a shingle against the others
+    # long lists, and groups of several members: by the largest component of a shingle, which names what they have in common
     units = labels.select("group", "label").distinct()
-    rest = tokens.where(f"held > {PAIRED} or most > 1").select("token", "group", "n", "at").join(units, "group")
+    rest = tokens.where(f"held > {PAIRED} or most > 1").select("token", "group").join(units, "group")
     size = rest.groupBy("token", "label").agg(F.count("*").alias("_size")).groupBy("token").agg(F.max(F.struct("_size", "label")).alias("_m"), F.count("*").alias("_labels"))
-    rest = rest.join(size.where("_labels > 1").select("token", F.col("_m.label").alias("main")), "token")
-    rest = checkpointed(rest.join(sets.select(F.col("set").alias("group"), "prefix"), "group"))
+    rest = rest.join(size.where("_labels > 1").select("token", F.col("_m.label").alias("main")), "token").select("main", "group", "label").distinct()
+    rest = checkpointed(rest.join(labels, ["group", "label"]).select("main", "set", "label").join(sets.select("set", "n", "unique", "shared"), "set"))
     if not rest.isEmpty():
-        a = rest.where("label <> main").select("token", "main", *(F.col(c).alias(f"{c}_a") for c in ("group", "label", "n", "at", "prefix")))
-        b = rest.select("token", *(F.col(c).alias(f"{c}_b") for c in ("group", "label", "n", "at", "prefix")))
-        # a pair counts under the first shingle of both prefixes alone
-        first = "element_at(array_intersect(prefix_a, prefix_b), 1) = token"
-        pairs = a.join(b, "token").where(f"(label_b = main or label_a < label_b) and {_CAN_LINK} and {first}").select("group_a", "label_a", "group_b", "label_b").distinct()
-        for s in "ab":
-            pairs = pairs.join(labels.select(F.col("group").alias(f"group_{s}"), F.col("label").alias(f"label_{s}"), F.col("set").alias(s)), [f"group_{s}", f"label_{s}"])
-        links = checkpointed(_verified(pairs, sets))
-        if not links.isEmpty():
-            labels = _relabelled(labels, links)
+        rest = checkpointed(_departures(rest))
+        for found in (_to_nearest, _by_departures):
+            links = checkpointed(_verified(found(rest), sets))
+            if not links.isEmpty():
+                labels = _relabelled(labels, links)
+                rest = rest.drop("label").join(labels.select("set", "label"), "set")
 
     final = sets.select("set", "set_id", "first_id").join(labels, "set")
     names = final.groupBy("label").agg(F.min("first_id").alias("component_id"))

@@ -79,6 +79,28 @@ def test_hot_shingles_and_copies(spark, monkeypatch):
     assert run(spark, rows, 1) == run(spark, rows, 7) == direct(rows)
 
 
+def test_near_copies_that_do_not_link(spark, monkeypatch):
+    """Copies of one text with one to six changes, many of them too far from most others: few comparisons, no link lost."""
+    rng = random.Random(3)
+    base = [f"b{k}" for k in range(150)]
+    rows = []
+    for k in range(600):
+        copy = list(base)
+        for _ in range(rng.choice([1, 1, 2, 2, 3, 4, 4, 5, 6])):
+            copy[rng.randrange(150)] = f"n{rng.randrange(10**6)}"
+        rows.append((k, " ".join(copy)))
+    # pairs that link with each other alone, by changes that both have
+    for k in range(0, 60, 2):
+        copy = list(base)
+        for at in range(0, 150, 12):
+            copy[at] = f"p{k}x{at}"
+        rows += [(1000 + k, " ".join(copy)), (1001 + k, " ".join([*copy, "end"]))]
+    compared, verified = [], jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, sets: compared.append(pairs.count()) or verified(pairs, sets))
+    assert run(spark, rows) == direct(rows)
+    assert sum(compared) < 20 * len(rows)
+
+
 def test_long_text_and_nothing(spark):
     long = " ".join(str(k % 9973) for k in range(200_000))
     assert run(spark, [(1, long), (2, long + " end"), (3, "x" * 300_000)]) == direct([(1, long), (2, long + " end"), (3, "x" * 300_000)])
