@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -26,6 +27,8 @@ LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2:
 LOWER |= {c: c + 32 for c in range(0x10D50, 0x10D66)} | {c: c + 27 for c in range(0x16EA0, 0x16EB9)}
 #: Words, and as many chunks, that a worker remembers, and characters of the longest one.
 CACHE_WORDS, CACHE_CHARS = 400_000, 64
+#: Words of up to so many letters are merged side by side.
+TOGETHER = 64
 #: Documents and characters of one output batch.
 BATCH_ROWS, BATCH_CHARS = 512, 4_000_000
 
@@ -107,6 +110,11 @@ class Bpe:
         usable = {i for i in range(n) if self._rebuilt(i)}
         self.inner = {t: i for t, i in self.inner.items() if i in usable}
         self.final = {t: i for t, i in self.final.items() if i in usable}
+        #: Tokens of single letters, within a word and, by those, at its end; what a merge makes.
+        self.letter, self.letter_end, self.made_ids = np.full(512, n, np.int64), np.full(n + 1, n, np.int64), made
+        for c in self.letters.values():
+            self.letter[ord(c)] = self.inner[c]
+            self.letter_end[self.inner[c]] = self.final[c]
         #: The longest token that begins with two given letters.
         self.reach: dict[str, int] = {}
         for t in self.inner:
@@ -180,6 +188,55 @@ class Bpe:
                 ranks[k] = rank.get((ids[k], ids[k + 1]), never)
         return ids
 
+    def merged_together(self, words: list[str]) -> list[list[int]]:
+        """The same for many words of up to ``TOGETHER`` letters: each round merges the best pair of every word that has one."""
+        out: list = [None] * len(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        never, none = self.never, self.n
+        low = 0
+        for width in (4, 6, 8, 10, 12, 16, 24, 32, TOGETHER):
+            at = np.flatnonzero((sizes > low) & (sizes <= width))
+            low = width
+            if not len(at):
+                continue
+            size = sizes[at]
+            ids = self.letter[np.array([words[k] for k in at], f"U{width}").view(np.uint32).reshape(len(at), width)]
+            ends = np.arange(len(at)), size - 1
+            ids[ends] = self.letter_end[ids[ends]]
+            ids[np.arange(width) >= size[:, None]] = none
+            # a column more than pairs need: beyond the last there is none
+            ranks = np.full((len(at), width), never)
+            ranks[:, :-1] = self.rank_of(ids[:, :-1], ids[:, 1:])
+            place = np.arange(width)
+            while len(at):
+                k = ranks.argmin(1)
+                row = np.arange(len(at))
+                best = ranks[row, k]
+                done = best == never
+                if done.any():
+                    for j, word in zip(at[done].tolist(), ids[done].tolist(), strict=True):
+                        out[j] = word[: word.index(none)] if word[-1] == none else word
+                    more = ~done
+                    at, ids, ranks, k, best = at[more], ids[more], ranks[more], k[more], best[more]
+                    row = np.arange(len(at))
+                    if not len(at):
+                        break
+                shifted = np.minimum(place + (place > k[:, None]), width - 1)
+                last = ids[:, -1] != none
+                ids, ranks = np.take_along_axis(ids, shifted, 1), np.take_along_axis(ranks, shifted, 1)
+                ids[last, -1], ranks[:, -1] = none, never
+                ids[row, k] = self.made_ids[best]
+                ranks[row, k] = np.where(k + 1 < width, self.rank_of(ids[row, k], ids[row, np.minimum(k + 1, width - 1)]), never)
+                inner = np.flatnonzero(k > 0)
+                ranks[inner, k[inner] - 1] = self.rank_of(ids[inner, k[inner] - 1], ids[inner, k[inner]])
+        return out
+
+    def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of tokens; those that do not merge, or go beyond a word, are last."""
+        key = a * self.n + b
+        at = np.searchsorted(self.keys, key)
+        return np.where((self.keys[at] == key) & (b < self.n) & (a < self.n), self.ranks[at], self.never)
+
     def _merged_long(self, ids: list[int]) -> list[int]:
         """The same with a heap and links, for words of any length."""
         import heapq
@@ -214,8 +271,12 @@ class Bpe:
         inside = np.flatnonzero(owner[1:] == owner[:-1])
         good = self.compatible(flat[inside], flat[inside + 1])
         failed = np.unique(owner[inside[~good]]).tolist()
+        short = [k for k in failed if len(spelled[k]) <= TOGETHER]
+        for k, ids in zip(short, self.merged_together([spelled[k] for k in short]), strict=True):
+            tokens[k] = ids
         for k in failed:
-            tokens[k] = self.merged(spelled[k])
+            if len(spelled[k]) > TOGETHER:
+                tokens[k] = self.merged(spelled[k])
         out.update(zip(words, tokens, strict=True))
         return len(failed)
 
@@ -252,9 +313,11 @@ class Bpe:
         for c, ws in parts.items():
             ids = [self.special[c[1:]]] if c[0] == " " else [i for w in ws for i in (self.cache[w] if w in self.cache else rare[w])]
             (known if len(c) <= CACHE_CHARS else long)[c] = ids
-        if long:
-            return [[i for c in cs for i in (known[c] if c in known else long[c])] for cs in split]
-        return [list(chain.from_iterable(map(known.__getitem__, cs))) for cs in split]
+        known.update(long)
+        out = [list(chain.from_iterable(map(known.__getitem__, cs))) for cs in split]
+        for c in long:
+            del known[c]
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """The file names no decoder: tokens are joined by one space."""
@@ -275,7 +338,12 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id") -> DataFrame
         bpe = Bpe(tokenizer)
 
         def out(keys: list, texts: list[str]) -> pa.RecordBatch:
-            ids = bpe.encode(texts)
+            # nothing here refers to itself, and a search for such things walks all that is remembered
+            gc.disable()
+            try:
+                ids = bpe.encode(texts)
+            finally:
+                gc.enable()
             return pa.RecordBatch.from_arrays([pa.array(keys, kind), pa.array(ids, pa.list_(pa.int32())), pa.array(map(bpe.decode, ids), pa.string())], names=["doc_id", "ids", "decoded"])
 
         for batch in batches:

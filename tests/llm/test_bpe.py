@@ -53,6 +53,18 @@ def test_random_words(ours, theirs):
     same(ours, theirs, ["".join(rng.choices("abceinrstt", k=rng.randint(1, 300))) for _ in range(3000)])
 
 
+def test_words_merged_together(ours, monkeypatch):
+    """Short words that are no longest matches are merged side by side, as one by one; none goes the slow way."""
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abceinrstté日", k=rng.randint(1, 30))) for _ in range(4000)] + ["a" * k for k in range(1, 65)] + ["\u00ff" * 32]
+    spelled = [w.encode().decode("latin-1").translate(ours.letters) for w in words]
+    spelled = [s for s in spelled if len(s) <= 64]
+    want = [ours.merged(s) for s in spelled]
+    assert ours.merged_together(spelled) == want
+    monkeypatch.setattr(ours, "merged", lambda word: 1 / 0)
+    ours.learn([w for w in words if len(w.encode()) <= 64], {})
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(max_size=60))
 def test_any_text(ours, theirs, text):
