@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mergewell.functions.hashing import fold, sampled
+from mergewell.operators.boosting import boosted
 from mergewell.operators.features import stage0
 from mergewell.operators.lineage import stored
 from mergewell.sources import storage
@@ -30,25 +31,16 @@ def assembled(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def train(
-    df: DataFrame, columns: list[str], rounds: int = 20, depth: int = 5, rate: float = 0.1, stop_salt: int | None = None, stop_share: float = 0.08, seed: int = 42, least_rows: int = 1, is_stored: bool = False,
+    df: DataFrame, columns: list[str], rounds: int = 20, depth: int = 5, rate: float = 0.1, stop_salt: int | None = None, stop_share: float = 0.08, seed: int = 42, least_rows: int = 1,
 ) -> GBTClassificationModel:
     """Boosted trees; with ``stop_salt`` a share of entities decides when to stop.
 
-    Rows are read a few times, until they are binned, so a plan is stored once;
-    ``is_stored`` says that ``df`` is a plain scan already. Without a row for
-    the decision, all rounds are run.
+    Rows are read a few times, until they are binned, so a plan is stored once.
+    Without a row for the decision, all rounds are run.
     """
-    keep = ["_features", "_y"]
-    if not is_stored:
-        df = stored(df.select(*dict.fromkeys(["label", *(["s1_id"] if stop_salt is not None else []), *columns])))
-    rows = assembled(df.withColumn("_y", F.col("label").cast("double")), columns)
-    gbt = GBTClassifier(featuresCol="_features", labelCol="_y", maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed, minInstancesPerNode=least_rows)
-    if stop_salt is not None:
-        rows, keep = rows.withColumn("_stop", F.coalesce(sampled(F.col("s1_id"), stop_share, stop_salt), F.lit(False))), [*keep, "_stop"]
-    rows = rows.select(*keep)
-    if stop_salt is not None and rows.select("_stop").distinct().count() == 2:
-        gbt = gbt.setValidationIndicatorCol("_stop")
-    return gbt.fit(rows)
+    rows = stored(df.select(*dict.fromkeys(["label", *(c for c in ("s1_id", "t_id") if c in df.columns), *columns])))
+    stops = None if stop_salt is None else [sampled(F.col("s1_id"), stop_share, stop_salt)]
+    return boosted(rows, columns, [F.lit(True)], stops, rounds, depth, rate, seed, least_rows)[0]
 
 
 def train_stage0(labeled: DataFrame, share: float = 0.15, rounds: int = 20, depth: int = 5, seed: int = 42) -> tuple[GBTClassificationModel, list[str]]:
@@ -71,16 +63,18 @@ def scored(model: GBTClassificationModel, df: DataFrame, columns: list[str], out
     return rows.withColumn(out, vector_to_array("probability")[1]).select(*df.columns, out)
 
 
-def out_of_fold(df: DataFrame, columns: list[str], out: str, folds: int = 5, share: float = 1.0, salt: int = 1, **options) -> tuple[DataFrame, list[GBTClassificationModel]]:
+def out_of_fold(
+    df: DataFrame, columns: list[str], out: str, folds: int = 5, share: float = 1.0, salt: int = 1, rounds: int = 20, depth: int = 5, rate: float = 0.1, stop_share: float = 0.08, seed: int = 42, least_rows: int = 1,
+) -> tuple[DataFrame, list[GBTClassificationModel]]:
     """Every row scored by the model that has not seen its entity, and the models.
 
     Model k learns from the other folds, or a share of their entities; another
-    8 % of those (salt 100 + k) decide when to stop. All models read one copy
-    of the rows.
+    8 % of those (salt 100 + k) decide when to stop. All models are grown side
+    by side from one copy of the rows.
     """
     rows = stored(df.withColumn("_fold", F.coalesce(fold(F.col("s1_id"), folds), F.lit(0))))
-    seen = rows.where(F.coalesce(sampled(F.col("s1_id"), share, salt), F.lit(True)))
-    models = [train(seen.where(F.col("_fold") != k), columns, stop_salt=100 + k, is_stored=True, **options) for k in range(folds)]
+    seen = F.coalesce(sampled(F.col("s1_id"), share, salt), F.lit(True))
+    models = boosted(rows, columns, [seen & (F.col("_fold") != k) for k in range(folds)], [sampled(F.col("s1_id"), stop_share, 100 + k) for k in range(folds)], rounds, depth, rate, seed, least_rows)
     parts = [scored(m, rows.where(F.col("_fold") == k), columns, out) for k, m in enumerate(models)]
     return reduce(DataFrame.unionByName, parts).drop("_fold"), models
 
