@@ -30,7 +30,7 @@ SAMPLE = 20_000
 #: Rows of a block. Sums of a block are packed into one float: counts from bit 36, gradients of at most 4 below, at a scale of 2^19.
 BLOCK, COUNT, SCALE = 8192, 1 << 36, float(1 << 19)
 #: Rounds after which margins are taken from the rows anew, so that lineage stays short.
-RENEW = 10
+RENEW = 25
 #: Least gain of the loss on rows held out, as in Spark ML.
 TOLERANCE = 0.01
 _MIX = np.uint64(0x9E3779B97F4A7C15)

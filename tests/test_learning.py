@@ -64,12 +64,13 @@ def test_trees_are_those_of_spark(spark):
     assert abs(model.featureImportances.toArray() - known.featureImportances.toArray()).max() < 1e-4
 
 
-def test_models_stop_and_do_not_depend_on_parts(spark):
+def test_models_stop_and_do_not_depend_on_parts(spark, monkeypatch):
     def scores(parts):
         out, models = learning.out_of_fold(table(spark, 2000, parts), COLUMNS, "p1", folds=3, rounds=12, depth=2, rate=1.0)
         return [m.getNumTrees for m in models], [tuple(r) for r in out.select("t_id", "p1").orderBy("t_id").collect()]
 
     numbers, found = scores(3)
+    monkeypatch.setattr(boosting, "RENEW", 2)
     assert (numbers, found) == scores(7)
     assert all(1 <= n <= 12 for n in numbers) and any(n < 12 for n in numbers)
 
